@@ -9,6 +9,7 @@ from ..functions.text import antibody_id, clean, residues, sequence_group_id
 from ..session import table
 from .bpe import encode
 from .components import seed_tree_components
+from .language import fit, text_languages, wrong_labels
 from .leakage import leaked_items
 from .overlap import CrossSplit
 from .sql import SQL  # noqa: F401
@@ -71,4 +72,16 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return leaked_items(table(spark, d, "documents"), table(spark, d, "eval_passages"))
 
 
-QUERIES = {"p7_found": p7_found, "p1_found": p1_found, "p2_found": p2_found, "p2_assign": p2_assign, "p3_found": p3_found, "p3_report": p3_report, "p6_ids": p6_ids}
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """Languages of documents whose label is missing or wrong, or that mix languages."""
+    return wrong_labels(table(spark, d, "documents")).select("doc_id", "lang")
+
+
+def p8_languages(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's languages with their letters and confidence."""
+    documents = table(spark, d, "documents")
+    found = text_languages(documents.select("doc_id", "text"), fit(documents))
+    return found.select("doc_id", F.col("lang_found").alias("lang"), "letters", "confidence")
+
+
+QUERIES = {"p8_found": p8_found, "p8_languages": p8_languages, "p7_found": p7_found, "p1_found": p1_found, "p2_found": p2_found, "p2_assign": p2_assign, "p3_found": p3_found, "p3_report": p3_report, "p6_ids": p6_ids}
