@@ -3,12 +3,14 @@
 Records are pairs of chains. Equal pairs collapse to one sequence first. Each
 sequence gets minwise hashes of its residue 3-mers (of both chains, told apart), grouped
 into bands; two sequences meet where a band agrees, one of them held out and the
-other in training. Met pairs are verified exactly: Jaccard similarity of the 3-mer sets at
+other in training. ``SKETCH`` one-bit minwise hashes travel along, so that members of one family, which
+share frameworks and hence some bands, part inside the join and are never emitted. Met pairs are verified exactly: Jaccard similarity of the 3-mer sets at
 the bound that the allowed edits imply, then the edits themselves.
 
 With at most ``edits`` edits a pair of n 3-mers keeps a similarity of at least
 (n - 3 * edits) / (n + 3 * edits): 0.87 for chains of 230 residues in all. 40 bands of 8 rows then miss
-one such pair in ten million. Sequences shorter than ``SHORT`` residues in all, where that bound
+one such pair in ten million, and its sketches differ in 17 bits (standard deviation 4); more than ``SKETCH_BITS`` come
+once in a billion. Sequences shorter than ``SHORT`` residues in all, where that bound
 gives out, take an exact way besides: cut into edits + 1 pieces, one of which a partner holds
 unchanged at a place shifted by at most ``edits``.
 
@@ -30,6 +32,8 @@ from ..operators.skew import attach
 from ..session import Scratch
 
 BANDS, ROWS = 40, 8
+#: One-bit minwise hashes of a sketch, and how many of them may differ.
+SKETCH, SKETCH_BITS = 256, 44
 #: Residues in all (both chains) under which the exact way joins in.
 SHORT = 160
 _SEED = 20240607
@@ -54,17 +58,24 @@ def band_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     weight = random.integers(1, 1 << 63, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
     offset = random.integers(1, 1 << 63, BANDS, dtype=np.uint64)
     for batch in batches:
-        keys = []
+        keys, sketches = [], []
         for heavy, light in zip(batch["heavy"], batch["light"]):
             codes = _shingle_codes(heavy, light)
             if not len(codes):
                 keys.append(np.zeros(0, dtype=np.int64))
+                sketches.append([0, 0, 0, 0])
                 continue
-            least = (mix[codes][None, :] * factor + shift).min(axis=1).astype(np.uint64).reshape(BANDS, ROWS)
+            least = (mix[codes][None, :] * factor + shift).min(axis=1)
+            bits = (least ^ (least >> np.uint32(7)) ^ (least >> np.uint32(13)))[:SKETCH] & np.uint32(1)
+            sketches.append(np.packbits(bits.astype(np.uint8)).view(np.int64).tolist())
+            least = least.astype(np.uint64).reshape(BANDS, ROWS)
             key = (least * weight).sum(axis=1, dtype=np.uint64) ^ offset
             key = (key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
             keys.append(key.view(np.int64))
-        yield pd.DataFrame({"seq": batch["seq"], "held": batch["held"], "train": batch["train"], "size": batch["size"], "keys": keys})
+        yield pd.DataFrame({
+            "seq": batch["seq"], "held": batch["held"], "train": batch["train"], "size": batch["size"], "keys": keys,
+            **{f"s{i}": [x[i] for x in sketches] for i in range(4)},
+        })
 
 
 def piece_keys(edits: int):
@@ -118,13 +129,15 @@ class CrossSplit:
     def candidates(self) -> DataFrame:
         """(a, b): held-out sequence and training sequence that share a band or a piece; each pair once."""
         keyed = self.sequences.select("seq", "heavy", "light", "held", "train", "size").mapInPandas(
-            band_keys, "seq long, held boolean, train boolean, size int, keys array<long>"
+            band_keys, "seq long, held boolean, train boolean, size int, keys array<long>, s0 long, s1 long, s2 long, s3 long"
         )
-        keyed = self.scratch.put(keyed.select("seq", "held", "train", "size", F.explode("keys").alias("key")), "bands")
-        held = keyed.filter("held").select(F.col("seq").alias("a"), F.col("size").alias("size_a"), "key")
-        train = keyed.filter("train").select(F.col("seq").alias("b"), F.col("size").alias("size_b"), "key")
+        sketch = [f"s{i}" for i in range(4)]
+        keyed = self.scratch.put(keyed.select("seq", "held", "train", "size", *sketch, F.explode("keys").alias("key")), "bands")
+        held = keyed.filter("held").select(F.col("seq").alias("a"), F.col("size").alias("size_a"), "key", *(F.col(c).alias(f"{c}_a") for c in sketch))
+        train = keyed.filter("train").select(F.col("seq").alias("b"), F.col("size").alias("size_b"), "key", *(F.col(c).alias(f"{c}_b") for c in sketch))
         near = (F.col("a") != F.col("b")) & (F.abs(F.col("size_a") - F.col("size_b")) <= self.edits)
-        found = held.join(train, "key").filter(near).select("a", "b")
+        differing = F.expr(" + ".join(f"bit_count({c}_a ^ {c}_b)" for c in sketch))
+        found = held.join(train, "key").filter(near & (differing <= SKETCH_BITS)).select("a", "b")
         short = self.sequences.filter(F.col("size") < SHORT + self.edits).select("seq", "held", "train", "size", "heavy", "light")
         pieces = short.mapInPandas(piece_keys(self.edits), "seq long, side int, size int, key string")
         own = pieces.filter("side = 0").select(F.col("seq").alias("b"), F.col("size").alias("size_b"), "key")
