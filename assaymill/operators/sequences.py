@@ -81,7 +81,8 @@ def quality(df: DataFrame, record: str, vh: str, vl: str) -> DataFrame:
     """One row per record: lengths, illegal characters, stop marks, white space, size of its duplicate pair group."""
     h, l = F.col(vh), F.col(vl)
     rows = df.select(
-        F.col(record).alias("record"), F.length(release_sequence(h)).alias("vh_length"), F.length(release_sequence(l)).alias("vl_length"),
+        F.col(record).alias("record"), F.coalesce(F.length(release_sequence(h)), F.lit(0)).alias("vh_length"),
+        F.coalesce(F.length(release_sequence(l)), F.lit(0)).alias("vl_length"),
         illegal_characters(F.concat_ws("", h, l)).alias("illegal"), F.coalesce(F.concat_ws("", h, l).contains("*"), F.lit(False)).alias("has_stop"),
         F.coalesce(F.concat_ws("", h, l).rlike(r"(?U)\s"), F.lit(False)).alias("has_space"), pair_sha(h, l).alias("pair"),
     )

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.blanks import strip
+
 
 def row_rules(df: DataFrame, table: str, rules: dict[str, Column]) -> DataFrame:
     """(table_name, rule, violations) of row predicates that must hold (null counts as a violation), in one pass."""
@@ -25,7 +27,7 @@ def core_counts(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """(table_name, metric, value): rows, filled ids, distinct ids and repeated ids of tables with an id column."""
     parts = []
     for name, (df, column) in tables.items():
-        counted = df.groupBy(F.nullif(F.trim(F.col(column).cast("string")), F.lit("")).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+        counted = df.groupBy(F.nullif(strip(F.col(column).cast("string")), F.lit("")).alias("k")).agg(F.count(F.lit(1)).alias("n"))
         one = counted.agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.when(F.col("k").isNotNull(), F.col("n"))), F.lit(0)).alias("ids"), F.count("k").alias("distinct_ids")
         )
