@@ -1 +1 @@
-
+"""Streaming forms of audit operators."""
