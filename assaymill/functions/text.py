@@ -119,5 +119,10 @@ def compact_header(c: Column) -> Column:
 
 
 def python_number_text(c: Column) -> Column:
-    """Fifteen significant digits, trailing zeros dropped; empty for non-finite values."""
-    return _arrow(lambda x: "" if x != x or x in (float("inf"), float("-inf")) else f"{x:.15g}")(c)
+    """Fifteen significant digits, trailing zeros dropped; empty for non-finite values, null for null."""
+
+    @F.pandas_udf("string")
+    def apply(numbers: pd.Series) -> pd.Series:
+        return pd.Series([f"{x:.15g}" if abs(x) < float("inf") else "" for x in numbers], dtype=object)
+
+    return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(apply(c))

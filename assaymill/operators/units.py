@@ -90,7 +90,7 @@ BINS, LOW, HIGH = 40, -16, 16
 #: Below this posterior a unit is flagged uncertain.
 SURE = 0.95
 
-_NUMBER = r"([+\-−]?(?:[0-9]+(?:[.,][0-9]*)?|[.,][0-9]+)(?:[eE][+\-−]?[0-9]+)?)"
+_NUMBER = r"([+\-−]?(?:[0-9]+(?:[.,][0-9]*)?|[.,][0-9]+)(?:[eE][+\-−]?[0-9]+)?)(?![0-9.,])"
 
 
 def unit_key(c):

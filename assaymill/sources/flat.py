@@ -49,8 +49,8 @@ def read_delimited(spark: SparkSession, path: str, delimiter: str | None = None,
         encoding, delimiter = encoding or found[0], delimiter or found[1]
     return spark.read.csv(
         path, sep=delimiter, encoding=encoding, header=header, quote='"', escape='"', multiLine=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-        nullValue="\0", emptyValue="",
-    )
+        emptyValue="",
+    ).na.fill("")
 
 
 def json_shape(text: str) -> str:
@@ -127,10 +127,10 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     """Files below a folder with size, time, hash, kind and category; contents are hashed where they are read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     name = F.regexp_extract("path", r"([^/]+)$", 1)
-    head = F.substring("content", 1, 4096)
+    head = F.expr("substring(content, 1, 4096)")
     return files.select(
         F.col("path"), name.alias("filename"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"),
-        extension_of(name).alias("extension"), path_category(F.col("path")).alias("category"), (F.locate("00", F.hex(head)) % 2 == 1).alias("has_zero_byte"),
+        extension_of(name).alias("extension"), path_category(F.col("path")).alias("category"), F.contains(head, F.lit(bytearray(1))).alias("has_zero_byte"),
     )
 
 
