@@ -14,7 +14,7 @@ without a passage, in the language of its sentences together.
 Defined cases: null, empty and blank texts and texts without prose (sequences, numbers, codes) have no language; a label
 that is null, blank, a placeholder or no language name is no label; names, codes and regions of a language are the same label;
 foreign terms and phrases inside a sentence, and single foreign sentences, make no passage; very long
-texts are read whole; ties go to the alphabetically first language; other columns are not read.
+texts are read whole; without any labelled text no language is told; ties go to the alphabetically first language; other columns are not read.
 """
 
 from __future__ import annotations
@@ -48,6 +48,8 @@ CODES = list(LANGUAGES)
 SAMPLE = 300
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3, 4)
+#: Log probability of everything in a language without labelled texts.
+UNSEEN = -60.0
 #: Letters (ideographs count three) and words (or ideographs) a sentence needs to be told by itself.
 LEAST, LEAST_WORDS = 18, 4
 #: Log likelihood by which a sentence must favour another language than the text's main one.
@@ -206,7 +208,7 @@ def fit(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", label:
         table[found["bucket"].to_numpy(), found["k"].to_numpy()] = found["n"].to_numpy()
         seen = table.sum(axis=0) > 0
         share = (table + 0.5) / (table.sum(axis=0) + 0.5 * BUCKETS)
-        log_probability = np.where(seen, np.log(share), -60.0).astype(np.float32)
+        log_probability = np.where(seen, np.log(share), UNSEEN).astype(np.float32)
     return log_probability
 
 
@@ -240,6 +242,8 @@ def text_languages(documents: DataFrame, model: np.ndarray, doc_id: str = "doc_i
                 )
 
     rows = documents.select(F.col(text).alias("_text"), doc_id, *keep)
+    if not (model > UNSEEN).any():  # without labelled texts no language can be told
+        rows = rows.limit(0)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
     return rows.mapInArrow(run, f"{kinds}, lang_found string, letters long, confidence double, n_langs int")
 
