@@ -86,7 +86,8 @@ def table_key(c: Column) -> Column:
 def residues(c: Column) -> Column:
     """Residues of a chain: upper case without white space, gap marks and closing ``*``; null where none is left."""
     letters = F.regexp_replace(F.upper(squeeze(c)), r"[\p{Pd}._~−]+", "")
-    return F.nullif(F.regexp_replace(letters, r"\*+$", ""), F.lit(""))
+    untidy = F.nullif(F.regexp_replace(letters, r"\*+$", ""), F.lit(""))
+    return F.when(c.rlike("[^A-Z]"), untidy).when(c == "", F.lit(None).cast("string")).otherwise(c)
 
 
 def _arrow(function, returns="string"):
