@@ -171,6 +171,7 @@ class CrossSplit:
     def record_pairs(self) -> DataFrame:
         """(record_a, record_b), smaller first: every overlapping pair of records."""
         pairs = self.scratch.put(self.sequence_pairs().select("a", "b"), "pairs")
+        self.scratch.drop("bands")
         held = self.members.filter("split <> 'train'").select(F.col("seq").alias("a"), F.col("record").alias("x"))
         train = self.members.filter("split = 'train'").select(F.col("seq").alias("b"), F.col("record").alias("y"))
         both = pairs.join(held, "a").join(train, "b")
@@ -179,6 +180,7 @@ class CrossSplit:
     def report(self, source: str) -> DataFrame:
         """Overlapping pairs of records per split and source of both ends, counted from classes without spelling pairs out."""
         pairs = self.scratch.put(self.sequence_pairs().select("a", "b", "edits"), "report-pairs")
+        self.scratch.drop("bands")
         counted = self.members.groupBy("seq", "split", source).agg(F.count(F.lit(1)).alias("n"))
         held = counted.filter("split <> 'train'").select(F.col("seq").alias("a"), F.col("split"), F.col(source).alias("held_source"), F.col("n").alias("n_a"))
         train = counted.filter("split = 'train'").select(F.col("seq").alias("b"), F.col(source).alias("train_source"), F.col("n").alias("n_b"))
