@@ -152,4 +152,6 @@ def orphan_ledger(spark: SparkSession, refs: DataFrame, rows: DataFrame, cuts: i
             rows.filter(_between(F.col("at"), low, high, i == 0)).select("target", "at"),
             rows.filter(F.col("gone_at").isNotNull() & _between(F.col("gone_at"), low, high, i == 0)).select("target"),
         )
+    for tag in ("references", "parents"):
+        scratch.drop(tag)
     return ledger

@@ -293,9 +293,8 @@ def text_flags(spark: SparkSession, d: str) -> DataFrame:
 
 
 def numeric_claims(spark: SparkSession, d: str) -> DataFrame:
-    """Numeric statements of the English abstracts, counted per document and unit."""
-    rows = table(spark, d, "documents").filter("doc_kind = 'abstract'")
-    return claims.numeric_claims(rows, "doc_id", "text").groupBy("record", "unit").agg(F.count(F.lit(1)).alias("n_claims"), F.max("value").alias("largest"))
+    """Numeric statements of all documents, counted per document and unit."""
+    return claims.numeric_claims(table(spark, d, "documents"), "doc_id", "text").groupBy("record", "unit").agg(F.count(F.lit(1)).alias("n_claims"), F.max("value").alias("largest"))
 
 
 def claim_categories(spark: SparkSession, d: str) -> DataFrame:
