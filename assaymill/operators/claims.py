@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # What counts as a numeric statement, and its units.
 NUMBER = re.compile(
@@ -89,3 +91,26 @@ def claim_verdicts(claims: DataFrame, facts: DataFrame, key: str, tolerance: flo
         F.when(F.col("fact").isNull(), "unresolved").when(F.col("claimed").isNull(), "not_numeric").when(difference == 0, "verified_exact")
         .when(F.abs(difference) <= tolerance * F.abs(F.col("claimed")), "verified_rounding").otherwise("contradicted").alias("verdict"),
     )
+
+
+def candidate_sources(statements: DataFrame, sources: DataFrame, statement: str, source: str, k: int = 12) -> DataFrame:
+    """(statement key, source key, score, rank): the ``k`` sources that share most words with each statement.
+
+    ``statements`` and ``sources`` have a key and ``text``. Words meet by equality, so no cross join is needed; a word
+    that more than a tenth of the sources hold tells them apart too little and is left out of the score.
+    """
+    def words_of(df: DataFrame, key: str) -> DataFrame:
+        tokens = F.filter(F.split(F.lower("text"), "[^0-9a-z]+"), lambda w: F.length(w) > 2)
+        return df.filter("text is not null").select(F.col(key), F.explode(F.array_distinct(tokens)).alias("word"))
+
+    held = words_of(sources, source)
+    total = sources.agg(F.count(F.lit(1)).alias("all_sources"))
+    telling = held.groupBy("word").agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(total)).filter("n <= greatest(1, all_sources / 10)").select("word")  # one row
+    scored = words_of(statements, statement).join(telling, "word").join(held, "word").groupBy(statement, source).agg(F.count(F.lit(1)).alias("score"))
+    order = Window.partitionBy(statement).orderBy(F.desc("score"), source)
+    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def fact_table(facts: dict[str, DataFrame]) -> DataFrame:
+    """(metric, fact) of one-row, one-column results: every fact is a small query of its own."""
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("metric"), F.col(df.columns[0]).cast("double").alias("fact")) for name, df in facts.items()])

@@ -54,3 +54,32 @@ def edge_rules(lineage: DataFrame, required: list[str], hash_column: str, commit
     long = row_rules.select(F.explode(F.array(*(F.struct(F.lit(n).alias("rule"), F.col(n).alias("violations")) for n in checks))).alias("r")).select("r.*")
     repeated = lineage.groupBy(id_column).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").agg(F.lit("repeated_id").alias("rule"), F.count(F.lit(1)).alias("violations"))
     return long.unionByName(repeated)
+
+
+def leaf_references(records: DataFrame, record: str, embedded: str, references: str, own: str, dictionary: str) -> DataFrame:
+    """(record, kind, source): what each record derives from, by the first of four columns that is filled.
+
+    Embedded sources (a JSON list of texts) come before references to other records (joined by ``|``), those before the
+    record's own source column, and that before its dictionary column. A record without any raises.
+    """
+    def filled(c: str):
+        return F.col(c).isNotNull() & (F.trim(F.col(c)) != "") & (F.trim(F.col(c)) != "[]")
+
+    pipes = lambda c: F.filter(F.transform(F.split(c, r"\|"), lambda x: F.trim(x)), lambda x: x != "")
+    kind = F.when(filled(embedded), "embedded").when(filled(references), "reference").when(filled(own), "own").when(filled(dictionary), "dictionary")
+    sources = (
+        F.when(F.col("kind") == "embedded", F.from_json(embedded, "array<string>")).when(F.col("kind") == "reference", pipes(references))
+        .when(F.col("kind") == "own", F.array(own)).otherwise(F.array(dictionary))
+    )
+    rows = records.withColumn("kind", kind)
+    bare = rows.filter("kind is null").select(F.col(record).cast("string")).limit(1).collect()
+    if bare:
+        raise ValueError(f"record without lineage: {bare[0][0]}")
+    return rows.select(F.col(record).alias("record"), "kind", F.explode(sources).alias("source")).distinct()
+
+
+def edge_rows(references: DataFrame, rules: DataFrame, prefix: str = "LINEAGE") -> DataFrame:
+    """Reference rows with the rule and script of their kind and a content id over record, kind and source."""
+    joined = references.join(F.broadcast(rules), "kind", "left")  # one rule per kind of reference
+    content = F.sha2(F.concat_ws("\x1f", "record", "kind", "source"), 256)
+    return joined.withColumn("lineage_id", F.concat(F.lit(f"{prefix}:"), F.substring(content, 1, 24)))

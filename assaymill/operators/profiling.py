@@ -92,3 +92,11 @@ def header_names(headers: list[str | None], reserved: set[str] = frozenset()) ->
     """Field names of a sheet: blanks by position, repeats and reserved names with their position."""
     plain = [(h or "").strip() or f"source_column_{i + 1}" for i, h in enumerate(headers)]
     return [h if plain.count(h) == 1 and h not in reserved else f"{h}__source_column_{i + 1}" for i, h in enumerate(plain)]
+
+
+def profile_summary(profiles: DataFrame, status: str) -> DataFrame:
+    """(metric, value): number of tables, rows in all, and tables per read status, as metric rows."""
+    total = profiles.agg(F.count(F.lit(1)).alias("tables"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows"))
+    metrics = F.array(F.struct(F.lit("tables").alias("metric"), F.col("tables").alias("value")), F.struct(F.lit("rows").alias("metric"), F.col("rows").alias("value")))
+    per_status = profiles.groupBy(status).agg(F.count(F.lit(1)).alias("value"))
+    return total.select(F.explode(metrics).alias("m")).select("m.*").unionByName(per_status.select(F.concat(F.lit("status:"), status).alias("metric"), "value"))

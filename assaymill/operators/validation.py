@@ -53,3 +53,20 @@ def report_markdown(rules: DataFrame, title: str) -> str:
     lines = [f"# {title}", "", f"{len(rows) - len(failed)} of {len(rows)} rules hold.", ""]
     lines += [f"- {r['table_name']}: {r['rule']} ({r['violations']} violations)" for r in failed]
     return "\n".join(lines) + "\n"
+
+
+def release_checks(spark, folder: str, expected: dict[str, int], problems: list[str]) -> DataFrame:
+    """(table_name, rule, violations) of a finished release folder: declared tables are there with their rows, checksums hold, no run is open.
+
+    ``expected``: file name to row count; ``problems``: what the checksum verification found.
+    """
+    from pathlib import Path
+
+    rows = [(name, "file_present", int(not (Path(folder) / name).is_file())) for name in sorted(expected)]
+    for name, count in sorted(expected.items()):
+        if (Path(folder) / name).is_file():
+            found = spark.read.csv(f"{folder}/{name}", sep="\t", header=True, multiLine=True, quote='"', escape='"').count()
+            rows.append((name, "row_count", abs(found - count)))
+    rows.append(("release", "checksums", len(problems)))
+    rows.append(("release", "no_open_run", int((Path(folder) / "active_run.json").exists())))
+    return spark.createDataFrame(rows, "table_name string, rule string, violations long")

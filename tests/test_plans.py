@@ -53,3 +53,47 @@ def test_audit_run(spark, tmp_path):
     assert "b.csv.antibody_id->a.csv.antibody_id\t2\t2\t1\t1\t1\tD3\thas_orphans" in links
     with pytest.raises(ValueError):
         audit.run(spark, str(data), str(out), "other")
+
+
+def test_config_and_scope(tmp_path):
+    from assaymill.plans import config
+    from assaymill.sinks.release import sha256_file
+
+    (tmp_path / "a.csv").write_text("x\n")
+    file = tmp_path / "c.json"
+    file.write_text(json.dumps({"release_version": "1", "inputs": {"a.csv": sha256_file(tmp_path / "a.csv")}}))
+    assert config.RunConfig.load(str(file), str(tmp_path)).release_version == "1"
+    (tmp_path / "a.csv").write_text("y\n")
+    with pytest.raises(config.ScopeError, match="changed"):
+        config.RunConfig.load(str(file), str(tmp_path))
+    file.write_text("{}")
+    with pytest.raises(ValueError, match="missing settings"):
+        config.RunConfig.load(str(file), str(tmp_path))
+    assert config.resolve_scope(str(tmp_path), ["a.csv"], ["a.csv"]) == [(tmp_path / "a.csv").resolve()]
+    for selected in ([], ["b.csv"], ["a.csv", "c.json"], ["a.csv", "../x"]):
+        with pytest.raises(config.ScopeError):
+            config.resolve_scope(str(tmp_path), ["a.csv"], selected)
+
+
+def test_candidates_facts_and_summaries(spark, tmp_path):
+    from assaymill.operators import claims, lineage, profiling, validation
+    from assaymill.sinks.release import verify_checksums, write_checksums
+
+    statements = spark.createDataFrame([("c1", "Melting temperature of antibody records"), ("c2", None)], "claim string, text string")
+    sources = spark.createDataFrame([(f"s{i:02}", f"antibody table number{i}") for i in range(20)] + [("hit", "melting temperature of antibody")], "src string, text string")
+    assert rows(claims.candidate_sources(statements, sources, "claim", "src")) == [("c1", "hit", 2, 1)]
+    facts = claims.fact_table({"n": sources.agg(F.count(F.lit(1)))})
+    assert rows(facts) == [("n", 21.0)]
+    records = spark.createDataFrame([("a", '["f1","f2"]', "x|y", None, None), ("b", "[]", " x | y|", "o", None), ("c", None, "", "own.csv", "d"), ("d", None, None, None, "dict")], "id string, e string, r string, o string, d string")
+    refs = lineage.leaf_references(records, "id", "e", "r", "o", "d")
+    assert rows(refs) == [("a", "embedded", "f1"), ("a", "embedded", "f2"), ("b", "reference", "x"), ("b", "reference", "y"), ("c", "own", "own.csv"), ("d", "dictionary", "dict")]
+    edges = lineage.edge_rows(refs, spark.createDataFrame([("own", "COPY")], "kind string, rule string"))
+    assert edges.select("lineage_id").distinct().count() == 6 and rows(edges.filter("rule is not null"), "record") == [("c",)]
+    with pytest.raises(ValueError, match="without lineage"):
+        lineage.leaf_references(spark.createDataFrame([("z", None, None, None, None)], records.schema), "id", "e", "r", "o", "d")
+    profiles = spark.createDataFrame([("t", 3, "ok"), ("u", 4, "ok"), ("v", 0, "error")], "t string, row_count long, read_status string")
+    assert rows(profiling.profile_summary(profiles, "read_status")) == [("rows", 7), ("status:error", 1), ("status:ok", 2), ("tables", 3)]
+    (tmp_path / "t.tsv").write_text("a\tb\n1\t2\n")
+    write_checksums(str(tmp_path))
+    checks = validation.release_checks(spark, str(tmp_path), {"t.tsv": 1, "u.tsv": 2}, verify_checksums(str(tmp_path)))
+    assert rows(checks.filter("violations > 0")) == [("u.tsv", "file_present", 1)]
