@@ -90,28 +90,26 @@ def is_prose(sentence: str) -> bool:
     return weight_of(sentence) >= LEAST and (sentence.count(" ") + 1 >= LEAST_WORDS or len(_IDEOGRAPH.findall(sentence)) >= LEAST_WORDS)
 
 
-def ngrams(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, sentence number) of every n-gram; none crosses a sentence's end."""
+def ngram_orders(parts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(bucket, sentence number) of the n-grams of each order; none crosses a sentence's end, and sentence numbers ascend."""
     text = "".join(f" {p} " for p in parts)
     codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
     sizes = np.array([len(p) + 2 for p in parts])
     owner = np.repeat(np.arange(len(parts)), sizes)
-    buckets, owners = [], []
     rolled = np.zeros(len(codes), dtype=np.uint64)
     for n in range(1, max(ORDERS) + 1):
         if len(codes) < n:
             break
         rolled = rolled[: len(codes) - n + 1] * np.uint64(0x100000001B3) + codes[n - 1 :]
-        if n not in ORDERS:
-            continue
-        first, last = owner[: len(rolled)], owner[n - 1 :]
-        same = first == last
-        mixed = (rolled[same] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
-        buckets.append((mixed >> np.uint64(49)).astype(np.int64))
-        owners.append(first[same])
-    if not buckets:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    return np.concatenate(buckets), np.concatenate(owners)
+        if n in ORDERS:
+            same = owner[: len(rolled)] == owner[n - 1 :]
+            mixed = (rolled[same] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
+            yield (mixed >> np.uint64(49)).astype(np.int64), owner[: len(rolled)][same]
+
+
+def ngrams(parts: list[str]) -> np.ndarray:
+    """Buckets of all n-grams of some sentences."""
+    return np.concatenate([np.zeros(0, dtype=np.int64), *(bucket for bucket, _ in ngram_orders(parts))]) if parts else np.zeros(0, dtype=np.int64)
 
 
 def scores(parts: list[str], log_probability: np.ndarray) -> np.ndarray:
@@ -123,9 +121,11 @@ def scores(parts: list[str], log_probability: np.ndarray) -> np.ndarray:
         while stop < len(parts) and (stop == start or size + len(parts[stop]) < 100_000):
             size += len(parts[stop])
             stop += 1
-        bucket, owner = ngrams(parts[start:stop])
-        for k in range(log_probability.shape[1]):
-            out[start:stop, k] = np.bincount(owner, weights=log_probability[bucket, k], minlength=stop - start)
+        for bucket, owner in ngram_orders(parts[start:stop]):
+            # owners ascend: one sum per stretch of a sentence's n-grams
+            heads = np.flatnonzero(np.diff(owner, prepend=-1))
+            if len(heads):
+                out[start + owner[heads]] += np.add.reduceat(log_probability[bucket], heads, axis=0)
         start = stop
     return out
 
@@ -185,7 +185,7 @@ def _counts(log_probability: np.ndarray | None):
                     best = scores(parts, log_probability).argmax(axis=1)
                     parts = [p for p, b in zip(parts, best) if b == k]
                 if parts:
-                    total[k] += np.bincount(ngrams(parts)[0], minlength=BUCKETS)
+                    total[k] += np.bincount(ngrams(parts), minlength=BUCKETS)
         k, bucket = np.nonzero(total)
         yield pd.DataFrame({"k": k.astype(np.int32), "bucket": bucket.astype(np.int32), "n": total[k, bucket]})
 
