@@ -24,6 +24,7 @@ import re
 import unicodedata
 from collections import defaultdict
 from hashlib import blake2b
+from itertools import count, islice
 
 import numpy as np
 import pandas as pd
@@ -46,8 +47,11 @@ def words(text: str | None) -> list[str]:
     """Words of a text in comparable form."""
     if not text:
         return []
-    plain = unicodedata.normalize("NFKC", _TAG.sub(" ", text)).casefold()
-    plain = unicodedata.normalize("NFKC", plain)
+    plain = _TAG.sub(" ", text) if "<" in text or "&" in text else text
+    if plain.isascii():
+        plain = plain.lower()
+    else:
+        plain = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", plain).casefold())
     return [w for w in (_DROP.sub("", t) for t in _SPLIT.split(plain)) if w]
 
 
@@ -55,24 +59,20 @@ class Lexicon:
     """Numbers words and keeps the sign bits of their 64-bit hashes."""
 
     def __init__(self):
-        self.number: dict[str, int] = {}
+        self.number: dict[str, int] = defaultdict(count().__next__)
+        self.hashed = 0
         self.bits = np.zeros((1024, 64), dtype=np.int8)
 
     def numbers(self, tokens: list[str]) -> np.ndarray:
-        number, fresh = self.number, []
-        out = np.empty(len(tokens), dtype=np.int64)
-        for i, word in enumerate(tokens):
-            n = number.get(word)
-            if n is None:
-                n = number[word] = len(number)
-                fresh.append(word)
-            out[i] = n
-        if fresh:
-            first = len(number) - len(fresh)
+        number = self.number
+        out = np.fromiter(map(number.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+        if len(number) > self.hashed:
+            first, fresh = self.hashed, list(islice(number, self.hashed, None))
             if len(number) > len(self.bits):
                 self.bits = np.concatenate([self.bits, np.zeros((max(len(self.bits), len(number)), 64), dtype=np.int8)])
             digests = np.frombuffer(b"".join(blake2b(w.encode(), digest_size=8).digest() for w in fresh), dtype=np.uint8)
-            self.bits[first : len(number)] = np.unpackbits(digests).reshape(-1, 64).astype(np.int8) * 2 - 1
+            self.hashed = len(number)
+            self.bits[first : self.hashed] = np.unpackbits(digests).reshape(-1, 64).astype(np.int8) * 2 - 1
         return out
 
     def simhash(self, numbers: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -192,36 +192,38 @@ def shingle_share(item: np.ndarray, text: np.ndarray, stretch: int = STRETCH) ->
 
 
 def leaks_of(index: ItemIndex, ids: list, texts: list[str | None]) -> list[tuple]:
-    """(id, item) pairs of a few texts."""
-    out: list[tuple] = []
+    """(id, item) pairs of a few texts, whose windows are hashed and looked up together."""
     lexicon = index.lexicon
     share = 1 - 2 * ((STRETCH + STRETCH // 2) // 10) / (STRETCH - 1) - 1e-9
-    for doc, text in zip(ids, texts):
-        tokens = words(text)
-        if len(tokens) < WINDOW:
+    listed = [words(t) for t in texts]
+    sizes = np.array([len(x) for x in listed], dtype=np.int64)
+    numbers = lexicon.numbers([w for x in listed for w in x])
+    begin = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    met: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
+    for start in range(0, max(len(numbers) - WINDOW + 1, 0), CHUNK):
+        part = numbers[start : start + CHUNK + WINDOW - 1]
+        first = owner[start : start + len(part) - WINDOW + 1]
+        inside = np.flatnonzero(first == owner[start + WINDOW - 1 : start + len(part)])  # windows within one text
+        left, right = index.near(lexicon.simhash(part)[inside])
+        for j, p in zip((inside[left] + start).tolist(), right.tolist()):
+            doc = int(owner[j])
+            for w in index.of_print[index.start[p] : index.start[p + 1]]:
+                met[doc, int(index.owner[w])].append((int(index.place[w]), j - int(begin[doc])))
+    out: list[tuple] = []
+    for (doc, k), seeds in met.items():
+        item, own = index.numbers[k], numbers[begin[doc] : begin[doc] + sizes[doc]]
+        if len(item) < STRETCH - 2 or shingle_share(item, own) < share:
             continue
-        numbers = lexicon.numbers(tokens)
-        met: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for start in range(0, len(numbers) - WINDOW + 1, CHUNK):
-            part = numbers[start : start + CHUNK + WINDOW - 1]
-            left, right = index.near(lexicon.simhash(part))
-            for j, p in zip(left.tolist(), right.tolist()):
-                for w in index.of_print[index.start[p] : index.start[p + 1]]:
-                    met[int(index.owner[w])].append((int(index.place[w]), j + start))
-        listed = numbers.tolist() if met else []
-        for k, seeds in met.items():
-            item = index.numbers[k]
-            if len(item) < STRETCH - 2 or shingle_share(item, numbers) < share:
+        plain, text = item.tolist(), own.tolist()
+        # one seed per unbroken run is enough: later windows of a run grow to the same stretch
+        seen = set(seeds)
+        for i, j in seeds:
+            if plain[i : i + WINDOW] != text[j : j + WINDOW] or ((i - 1, j - 1) in seen and plain[i - 1] == text[j - 1]):
                 continue
-            plain = item.tolist()
-            # one seed per unbroken run is enough: later windows of a run grow to the same stretch
-            seen = set(seeds)
-            for i, j in seeds:
-                if (i - 1, j - 1) in seen or plain[i : i + WINDOW] != listed[j : j + WINDOW]:
-                    continue
-                if holds_stretch(plain, listed, i, j):
-                    out.append((doc, index.ids[k]))
-                    break
+            if holds_stretch(plain, text, i, j):
+                out.append((ids[doc], index.ids[k]))
+                break
     return out
 
 
