@@ -10,7 +10,7 @@ the bound that the allowed edits imply, then the edits themselves.
 With at most ``edits`` edits a pair of n 3-mers keeps a similarity of at least
 (n - 3 * edits) / (n + 3 * edits): 0.87 for chains of 230 residues in all. 40 bands of 8 rows then miss
 one such pair in ten million, and its sketches differ in 17 bits (standard deviation 4); more than ``SKETCH_BITS`` come
-once in a billion. Sequences shorter than ``SHORT`` residues in all, where that bound
+once in two hundred million. Sequences shorter than ``SHORT`` residues in all, where that bound
 gives out, take an exact way besides: cut into edits + 1 pieces, one of which a partner holds
 unchanged at a place shifted by at most ``edits``.
 
@@ -35,7 +35,7 @@ BANDS, ROWS = 40, 8
 #: One-bit minwise hashes of a sketch, and how many of them may differ.
 SKETCH, SKETCH_BITS = 256, 44
 #: Residues in all (both chains) under which the exact way joins in.
-SHORT = 160
+SHORT = 200
 _SEED = 20240607
 
 
