@@ -31,7 +31,8 @@ def raw_statistics(raw: DataFrame, keys: list[str], conditions: list[str]) -> Da
 def reconstruct(summary: DataFrame, raw: DataFrame, summary_id: str, keys: list[str], conditions: list[str], two_decimals: Column | None = None) -> DataFrame:
     """One row per summary value: recomputed mean and count, difference and verdict.
 
-    ``summary``: summary_id, keys, conditions, reported (double), and optionally reported_n and reported_sd; ``raw``: keys,
+    ``summary``: summary_id, keys, conditions, reported (double), and optionally reported_n, reported_sd, and low and high (the
+    range that two reported decimals leave open, where reported is converted from another unit); ``raw``: keys,
     conditions, value (double). Conditions are texts, blank or null where open.
     """
     cells = raw_statistics(raw.filter("value is not null"), keys, conditions)
@@ -43,7 +44,7 @@ def reconstruct(summary: DataFrame, raw: DataFrame, summary_id: str, keys: list[
     open_spread = [
         F.when(F.max((F.coalesce(F.col(f"s.{c}"), F.lit("")) == "")) & (F.min(f"raw_{c}") != F.max(f"raw_{c}")), F.lit(c)) for c in conditions
     ]
-    reported = [c for c in ("reported", "reported_n", "reported_sd") if c in summary.columns]
+    reported = [c for c in ("reported", "reported_n", "reported_sd", "low", "high") if c in summary.columns]
     grouped = joined.groupBy(F.col(f"s.{summary_id}").alias(summary_id), *(F.col(f"s.{c}").alias(c) for c in [*keys, *reported])).agg(
         F.coalesce(F.sum("r.n"), F.lit(0)).alias("n"), F.sum("r.total").alias("total"),
         F.sum(F.col("r.n") * (F.col("r.var") + F.col("r.mean") * F.col("r.mean"))).alias("squares"), F.concat_ws("|", *open_spread).alias("ambiguous"),
@@ -51,6 +52,8 @@ def reconstruct(summary: DataFrame, raw: DataFrame, summary_id: str, keys: list[
     for c in ("reported_n", "reported_sd"):
         if c not in summary.columns:
             grouped = grouped.withColumn(c, F.lit(None).cast("double"))
+    if "low" not in summary.columns:
+        grouped = grouped.withColumn("low", F.col("reported") - TWO_DECIMALS).withColumn("high", F.col("reported") + TWO_DECIMALS)
     mean = F.when((F.col("n") > 0) & (F.col("ambiguous") == ""), F.col("total").cast("double") / F.col("n"))
     out = grouped.withColumn("recomputed", mean)
     spread = (F.col("squares") - F.col("n") * F.col("recomputed") * F.col("recomputed")) / (F.col("n") - 1)
@@ -64,7 +67,7 @@ def verdict(coarse: Column) -> Column:
     reported, recomputed = F.col("reported"), F.col("recomputed")
     exact = F.abs(reported - recomputed) <= EXACT
     fine = is_close(reported, recomputed, RELATIVE, RELATIVE)
-    within = F.when(coarse, F.abs(reported - recomputed) <= TWO_DECIMALS).otherwise(fine)
+    within = F.when(coarse, recomputed.between(F.col("low"), F.col("high"))).otherwise(fine)
     count_ok = F.col("reported_n").isNull() | (F.col("reported_n") == F.col("n"))
     sd_near = F.when(coarse, F.abs(F.col("reported_sd") - F.col("recomputed_sd")) <= TWO_DECIMALS).otherwise(
         is_close(F.col("reported_sd"), F.col("recomputed_sd"), RELATIVE, RELATIVE)

@@ -312,6 +312,14 @@ def harmonise(df: DataFrame, defaults: DataFrame, id_col: str = "record_id", blo
     )
 
 
+def rounding_range(harmonised: DataFrame, half: float) -> DataFrame:
+    """``harmonised`` with low and high: the common values of a number ``half`` smaller and larger in the unit it is written in."""
+    rules = unit_table(harmonised.sparkSession).select("uq", F.col("unit").alias("_unit"), "kind", "a", "b").distinct()
+    rows = harmonised.join(F.broadcast(rules), (F.col("quantity") == F.col("uq")) & (F.col("unit") == F.col("_unit")), "left")
+    ends = [to_common(F.col("x") + F.lit(step), F.col("kind"), F.col("a"), F.col("b")) for step in (-half, half)]
+    return rows.select(*harmonised.columns, F.least(*ends).alias("low"), F.greatest(*ends).alias("high"))
+
+
 def converted(harmonised: DataFrame) -> DataFrame:
     """(record_id, quantity, common_value in thousandths): each value whose unit is not the common one, once per record.
 

@@ -11,8 +11,8 @@ from ..functions.blanks import cell_blank, condition_key, first_nonblank, inferr
 from ..functions.text import antibody_id, clean, compact_header, identifier_token, sequence_group_id, table_key, value_or_null
 from ..operators import claims, comparison, documents, identity, integrity, inventory, lineage, profiling, reconstruct, sequences, validation
 from ..operators.statistics import explained_variance
-from ..operators.units import endpoint_quantity, number_text, number_value
-from ..session import table
+from ..operators.units import endpoint_quantity, harmonise, number_text, number_value, rounding_range
+from ..session import Scratch, table
 from .reference_sql import SQL  # noqa: F401
 
 FOREIGN_KEYS = [
@@ -154,21 +154,47 @@ def coverage_status(spark: SparkSession, d: str) -> DataFrame:
     return identity.coverage(left, table(spark, d, "labels").select(antibody_id(F.col("antibody_id")).alias("id")), "metadata", "labels")
 
 
-def _measured(spark: SparkSession, d: str) -> DataFrame:
-    """Measurements in long form: keys, conditions and a parsed value."""
-    rows = table(spark, d, "measurements").select(
-        "record_id", "record_layer", F.col("source_block_id").alias("block"), "DOTAD_ID", F.lower(clean(F.col("assay_endpoint"))).alias("_e"), "technical_replicate",
-        F.coalesce(F.col("production_batch").cast("string"), F.lit("")).alias("batch"), F.lower(F.coalesce(value_or_null(F.col("production_host")), F.lit(""))).alias("host"),
-        F.lower(F.coalesce(value_or_null(F.col("tag")), F.lit(""))).alias("tag"), clean(F.col("reported_value")).alias("_v"), F.lower(F.coalesce("statistic_type", F.lit(""))).alias("statistic"),
+def _delivered(spark: SparkSession, d: str) -> DataFrame:
+    """Delivered measurements of known endpoints: ``row`` (keys, conditions and a parsed number), and the cells its unit is told from."""
+    rows = table(spark, d, "measurements").withColumn("endpoint", endpoint_quantity(F.lower(clean(F.col("assay_endpoint"))))).filter("endpoint is not null")
+    row = F.struct(
+        "record_id", "loaded_at", F.col("withdrawn_at").isNotNull().alias("is_withdrawn"), "record_layer", F.col("source_block_id").alias("block"),
+        antibody_id(F.col("DOTAD_ID")).alias("id"), "endpoint", "technical_replicate", F.coalesce(F.col("production_batch").cast("string"), F.lit("")).alias("batch"),
+        F.lower(F.coalesce(value_or_null(F.col("production_host")), F.lit(""))).alias("host"), F.lower(F.coalesce(value_or_null(F.col("tag")), F.lit(""))).alias("tag"),
+        number_value(number_text(clean(F.col("reported_value")))).alias("value"), F.lower(F.coalesce("statistic_type", F.lit(""))).alias("statistic"),
     )
-    rows = rows.withColumn("id", antibody_id(F.col("DOTAD_ID"))).withColumn("endpoint", endpoint_quantity(F.col("_e"))).withColumn("_n", number_text(F.col("_v")))
-    return rows.withColumn("value", number_value(F.col("_n"))).filter("endpoint is not null").dropDuplicates(["record_id"])
+    none = F.lit(None).cast("string")
+    return rows.select(row.alias("row"), "source_block_id", "assay_endpoint", "unit", "reported_value", none.alias("concentration"), none.alias("temperature"))
+
+
+def _chosen(rows: DataFrame) -> DataFrame:
+    """One delivery of each record: the last loaded, a withdrawn one before a live one, then the largest content."""
+    return comparison.last_wins(rows, ["record_id"], F.struct("loaded_at", "is_withdrawn", *(c for c in rows.columns if c not in ("record_id", "loaded_at", "is_withdrawn"))))
+
+
+def _measured(spark: SparkSession, d: str) -> DataFrame:
+    """Measurements in long form: keys, conditions and the number as it is written."""
+    return _chosen(_delivered(spark, d).select("row.*"))
+
+
+def _harmonised(spark: SparkSession, d: str) -> DataFrame:
+    """Measurements in long form with the value in the endpoint's common unit, and the range (low, high) that its two decimals leave open.
+
+    Units are told over all delivered rows, as for p5_found. A value of 1e20 or more, or not finite, counts as none: exact sums do not hold it.
+    """
+    rows = _delivered(spark, d)
+    numbers = rounding_range(harmonise(rows, table(spark, d, "source_unit_defaults"), "row"), reconstruct.TWO_DECIMALS)
+    known = F.abs("common_value") < 1e20
+    numbers = numbers.select(F.col("record_id").dropFields("value").alias("row"), *(F.when(known, F.col(c)).alias(n) for c, n in (("common_value", "value"), ("low", "low"), ("high", "high"))))
+    empty = [F.lit(None).cast("double").alias(c) for c in ("value", "low", "high")]
+    bare = rows.filter("row.value is null").select(F.col("row").dropFields("value").alias("row"), *empty)
+    return _chosen(numbers.unionByName(bare).select("row.*", "value", "low", "high"))
 
 
 def _rebuilt(spark: SparkSession, d: str) -> DataFrame:
-    rows = _measured(spark, d)
+    rows = Scratch(spark, "measured").put(_harmonised(spark, d), "rows")
     raw = rows.filter("record_layer = 'raw'").select("block", "id", "endpoint", "batch", "host", "tag", "value")
-    summary = rows.filter("record_layer = 'summary'").select("record_id", "block", "id", "endpoint", F.lit("").alias("batch"), "host", "tag", F.col("value").alias("reported"))
+    summary = rows.filter("record_layer = 'summary'").select("record_id", "block", "id", "endpoint", F.lit("").alias("batch"), "host", "tag", F.col("value").alias("reported"), "low", "high")
     return reconstruct.reconstruct(summary, raw, "record_id", ["block", "id", "endpoint"], ["batch", "host", "tag"], F.col("block") == "DVPa1")
 
 
