@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.blanks import cell_blank, condition_key, first_nonblank, inferred_type, strip, tolerant_float, truthy
-from ..functions.text import antibody_id, clean, compact_header, identifier_token, sequence_group_id, table_key, value_or_null
+from ..functions.text import antibody_id, clean, compact_header, identifier_token, record_key, sequence_group_id, table_key, value_or_null
 from ..operators import claims, comparison, documents, identity, integrity, inventory, lineage, profiling, reconstruct, sequences, validation
 from ..operators.statistics import explained_variance
 from ..operators.units import endpoint_quantity, harmonise, number_text, number_value, rounding_range
@@ -241,8 +241,8 @@ def lineage_closure(spark: SparkSession, d: str) -> DataFrame:
 def lineage_coverage(spark: SparkSession, d: str) -> DataFrame:
     """Share of the records of each delivered table that have a lineage edge."""
     names = ["antibody_metadata", "identity_review_queue", "identity_relationship_groups", "identity_relationship_members", "measurements"]
-    records = reduce(DataFrame.unionByName, [table(spark, d, t).select(F.lit(t).alias("table_name"), F.concat(F.lit(f"{t}|"), "record_id").alias("record")) for t in names])
-    edges = table(spark, d, "record_lineage").select(F.concat_ws("|", table_key(F.col("output_table")), "output_record_id").alias("record"))
+    records = reduce(DataFrame.unionByName, [table(spark, d, t).select(F.lit(t).alias("table_name"), F.concat(F.lit(f"{t}|"), record_key(F.col("record_id"))).alias("record")) for t in names])
+    edges = table(spark, d, "record_lineage").select(F.concat(table_key(F.col("output_table")), F.lit("|"), record_key(F.col("output_record_id"))).alias("record"))
     return lineage.coverage(records, edges, "table_name")
 
 

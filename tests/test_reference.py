@@ -58,3 +58,17 @@ def test_the_last_delivery_of_a_record_counts(spark, tmp_path):
     for i, records in enumerate(([("60", 1), ("70", 2)], [("70", 2), ("60", 1)], [("70", 3), ("n/a", 2)], [("n/a", 2), ("70", 3)])):
         d = measurements(spark, tmp_path / str(i), of(records))
         assert rows(reference.reconstruct_summary(spark, d), "n", "status") == [(1, "verified_exact")]
+
+
+def test_lineage_edges_meet_records_spelled_otherwise(spark, tmp_path):
+    for name in ("antibody_metadata", "identity_review_queue", "identity_relationship_groups", "identity_relationship_members"):
+        write(spark, tmp_path, name, [("x:1",), ("x:1",), ("x:2",)], "record_id string")
+    write(spark, tmp_path, "measurements", [("EXP:a:1",), ("EXP:a:2",), ("exp:a:2 ",), ("EXP:a:3",), ("EXP:a:4",), ("EXP:a:5",), (None,)], "record_id string")
+    edges = [
+        ("measurements", " exp:A:1"), ("out/Measurements.tsv", "ＥＸＰ：a：２"), ("measurements", "EXP:a:3"), ("measurements", "exp: A:3\t"), ("measurements", "EXP:a-4"),
+        ("measurements", None), ("measurements", " "), ("antibody_metadata", "EXP:a:5"), ("identity review queue", "X:1"), (None, "x:1"),
+    ]
+    write(spark, tmp_path, "record_lineage", edges, "output_table string, output_record_id string")
+    assert rows(reference.lineage_coverage(spark, str(tmp_path)), "table_name", "n_records", "n_covered") == [
+        ("antibody_metadata", 2, 0), ("identity_relationship_groups", 2, 0), ("identity_relationship_members", 2, 0), ("identity_review_queue", 2, 1), ("measurements", 6, 3),
+    ]
