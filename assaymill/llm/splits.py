@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clean, is_placeholder
+from ..functions.text import split_name  # noqa: F401
 from ..operators.skew import attach
 from ..session import Scratch
 from .components import star_components
@@ -28,15 +28,6 @@ from .components import star_components
 SPLITS = ["train", "valid", "test"]
 
 
-def split_name(c: Column) -> Column:
-    """``train``, ``valid`` or ``test`` for its various names; null for none; other names in lower case."""
-    low = F.lower(clean(c))
-    return (
-        F.when(is_placeholder(c), F.lit(None).cast("string")).when(low.isin("train", "training", "trn"), "train")
-        .when(low.isin("valid", "val", "dev", "validation", "development"), "valid").when(low.isin("test", "testing", "tst"), "test").otherwise(low)
-    )
-
-
 def record_components(records: DataFrame, record: str, entities: dict[str, Column], keep: list[str] = ()) -> DataFrame:
     """(record, component, kept columns): records linked directly or through others have one component.
 

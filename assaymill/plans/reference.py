@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.blanks import cell_blank, condition_key, first_nonblank, inferred_type, strip, tolerant_float, truthy
-from ..functions.text import antibody_id, clean, compact_header, identifier_token, record_key, sequence_group_id, table_key, value_or_null
+from ..functions.text import antibody_id, clean, compact_header, identifier_token, record_key, sequence_group_id, split_name, table_key, value_or_null
 from ..operators import claims, comparison, documents, identity, integrity, inventory, lineage, profiling, reconstruct, sequences, validation
 from ..operators.statistics import explained_variance
 from ..operators.units import endpoint_quantity, harmonise, number_text, number_value, rounding_range
@@ -306,8 +306,7 @@ def coverage_by_family(spark: SparkSession, d: str) -> DataFrame:
 
 
 def split_leakage(spark: SparkSession, d: str) -> DataFrame:
-    split = F.lower(clean(F.col("split")))
-    return comparison.split_leakage(table(spark, d, "labels"), sequence_group_id(F.col("sequence_group")), F.nullif(F.regexp_replace(split, "^training$", "train"), F.lit("")))
+    return comparison.split_leakage(table(spark, d, "labels"), sequence_group_id(F.col("sequence_group")), split_name(F.col("split")))
 
 
 def release_status(spark: SparkSession, d: str) -> DataFrame:

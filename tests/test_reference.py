@@ -72,3 +72,12 @@ def test_lineage_edges_meet_records_spelled_otherwise(spark, tmp_path):
     assert rows(reference.lineage_coverage(spark, str(tmp_path)), "table_name", "n_records", "n_covered") == [
         ("antibody_metadata", 2, 0), ("identity_relationship_groups", 2, 0), ("identity_relationship_members", 2, 0), ("identity_review_queue", 2, 1), ("measurements", 6, 3),
     ]
+
+
+def test_other_names_of_a_split_are_no_leak(spark, tmp_path):
+    data = [
+        ("SG-1", "valid"), ("sg 1", "dev"), ("SG-1", "Validation"), ("SG-1", "val "), ("SG-00000002", "test"), ("SG-2", "Testing"), ("SG-3", "train"), ("SG-3", "Training"), ("SG-3", "TRAIN\t"),
+        ("SG-4", "dev"), ("SG-4", "testing"), ("SG-4", "test"), ("SG-5", "valid"), ("SG-5", "none"), ("SG-5", None), ("SG-5", " "), (None, "train"), (None, "test"),
+    ]
+    write(spark, tmp_path, "labels", data, "sequence_group string, split string")
+    assert rows(reference.split_leakage(spark, str(tmp_path))) == [("SG-00000004", 2, 3)]
