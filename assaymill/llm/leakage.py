@@ -8,7 +8,7 @@ of its words; four 16-bit blocks index the fingerprints, which finds every item
 a Hamming radius of three of a text's window. Met items are then verified exactly: the share of the
 item's word pairs that the text holds, in the best window of ``STRETCH`` words, weighted by how often
 they stand there, must reach what the allowed edits leave; and the stretch itself is grown from
-the met windows by counting edits.
+the met windows by counting edits, which may stand at its ends as well.
 
 Items are a query set: blocks of at most ``BLOCK`` items (checked) are broadcast in turn,
 against all texts.
@@ -133,7 +133,7 @@ class ItemIndex:
 
 
 def reach(item: list[int], text: list[int], i: int, j: int, edits: int) -> list[int]:
-    """How many item words from ``i`` on the text matches from ``j`` on, with 0..edits edits; a stretch ends on a matched word."""
+    """How many item words from ``i`` on the text holds from ``j`` on, with 0..edits edits, which may stand at the end too."""
     n, m = len(item), len(text)
 
     def slide(a: int, b: int) -> int:
@@ -155,10 +155,8 @@ def reach(item: list[int], text: list[int], i: int, j: int, edits: int) -> list[
                 step[d + 1] = max(step.get(d + 1, -1), a)
         front = {}
         for d, a in step.items():
-            end = slide(a, a + d)
-            front[d] = end
-            if end > a:
-                best = max(best, end)
+            front[d] = slide(a, a + d)
+            best = max(best, front[d])
         out.append(best - i)
     return out
 
