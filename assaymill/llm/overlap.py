@@ -10,8 +10,8 @@ the bound that the allowed edits imply, then the edits themselves.
 With at most ``edits`` edits a pair of n 3-mers keeps a similarity of at least
 (n - 3 * edits) / (n + 3 * edits): 0.87 for chains of 230 residues in all. 40 bands of 8 rows then miss
 one such pair in ten million, and its sketches differ in 17 bits (standard deviation 4); more than ``SKETCH_BITS`` come
-once in two hundred million. Sequences shorter than ``SHORT`` residues in all, where that bound
-gives out, take an exact way besides: cut into edits + 1 pieces, one of which a partner holds
+once in two hundred million. Sequences shorter than ``SHORT`` residues in all or, as repetitive ones, with fewer than ``DISTINCT``
+distinct 3-mers (n counts those), where that bound gives out, take an exact way besides: cut into edits + 1 pieces, one of which a partner holds
 unchanged at a place shifted by at most ``edits``.
 
 Defined cases: a record without one of its chains (null, blank or only gap marks), without an id, or without a
@@ -36,6 +36,8 @@ BANDS, ROWS = 40, 8
 SKETCH, SKETCH_BITS = 256, 44
 #: Residues in all (both chains) under which the exact way joins in.
 SHORT = 200
+#: Distinct 3-mers under which it joins in, whatever the length.
+DISTINCT = 190
 _SEED = 20240607
 
 
@@ -49,6 +51,16 @@ def _shingle_codes(heavy: str, light: str) -> np.ndarray:
     return np.unique(np.concatenate(parts)) if parts else np.zeros(0, dtype=np.uint32)
 
 
+def shingle_count(heavy: Column, light: Column) -> Column:
+    """Distinct 3-mers of both chains, as the bands see them."""
+
+    @F.pandas_udf("int")
+    def apply(heavy: pd.Series, light: pd.Series) -> pd.Series:
+        return pd.Series([len(_shingle_codes(h, l)) for h, l in zip(heavy, light)], dtype="int32")
+
+    return apply(heavy, light)
+
+
 def band_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Adds ``keys``, one 64-bit key per band, to rows with heavy and light."""
     random = np.random.default_rng(_SEED)
@@ -123,7 +135,8 @@ class CrossSplit:
             F.min("record").alias("seq"), F.first("heavy").alias("heavy"), F.first("light").alias("light"),
             F.max(held).alias("held"), F.max(~held).alias("train"),
         )
-        self.sequences = self.scratch.put(sequences.withColumn("size", F.length("heavy") + F.length("light")), "sequences")
+        sequences = sequences.withColumn("size", F.length("heavy") + F.length("light")).withColumn("shingles", shingle_count(F.col("heavy"), F.col("light")))
+        self.sequences = self.scratch.put(sequences, "sequences")
         self.members = attach(rows.drop("heavy", "light"), self.sequences.select("digest", "seq"), "digest").select("seq", "record", "split", *keep)
 
     def candidates(self) -> DataFrame:
@@ -138,7 +151,9 @@ class CrossSplit:
         near = (F.col("a") != F.col("b")) & (F.abs(F.col("size_a") - F.col("size_b")) <= self.edits)
         differing = F.expr(" + ".join(f"bit_count({c}_a ^ {c}_b)" for c in sketch))
         found = held.join(train, "key").filter(near & (differing <= SKETCH_BITS)).select("a", "b")
-        short = self.sequences.filter(F.col("size") < SHORT + self.edits).select("seq", "held", "train", "size", "heavy", "light")
+        # an edit changes the residues by one and the distinct 3-mers by three at most, so both ends of a pair are taken
+        bare = (F.col("size") < SHORT + self.edits) | (F.col("shingles") < DISTINCT + 3 * self.edits)
+        short = self.sequences.filter(bare).select("seq", "held", "train", "size", "heavy", "light")
         pieces = short.mapInPandas(piece_keys(self.edits), "seq long, side int, size int, key string")
         own = pieces.filter("side = 0").select(F.col("seq").alias("b"), F.col("size").alias("size_b"), "key")
         probe = pieces.filter("side = 1").select(F.col("seq").alias("a"), F.col("size").alias("size_a"), "key")
