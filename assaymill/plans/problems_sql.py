@@ -83,19 +83,30 @@ def _key(c: str) -> str:
 
 _NUM = r"^\s*([+-]?[0-9]+(?:[.,][0-9]+)?(?:e[+-]?[0-9]+)?)\s*(.*)$"
 
+_NAMED = r"(\((.+)\)|\[(.+)\]|, *(.+)| in (.+))$"
+_IN_ENDPOINT = " || ".join(f"regexp_extract(assay_endpoint, '{_NAMED}', {i})" for i in (2, 3, 4, 5))
+_WRITTEN = f"CASE WHEN unit IS NULL OR trim(unit) IN ('', '--', 'n/a') THEN {_IN_ENDPOINT} ELSE unit END"
+
+
+def _cell(cell: str, named: str) -> str:
+    return f"""TRY_CAST(replace(regexp_extract({cell}, '{_NUM}', 1), ',', '.') AS DOUBLE) x,
+    CASE WHEN trim(regexp_extract({cell}, '{_NUM}', 2)) <> '' THEN regexp_extract({cell}, '{_NUM}', 2) ELSE {named} END written"""
+
+
+def numbered(rows: str, quantity: str) -> str:
+    """``rows`` (block, assay_endpoint, unit, reported_value and ``quantity``) with the number ``x`` of reported_value and the key ``ukey`` of its unit."""
+    return f"""SELECT p.* EXCLUDE (written), CASE WHEN trim(written) <> '' THEN {_key("written")} ELSE {_key("d.default_unit")} END ukey
+    FROM (SELECT *, {_cell("reported_value", _WRITTEN)} FROM {rows}) p LEFT JOIN source_unit_defaults d ON d.source_block_id = p.block AND d.quantity = p.{quantity}"""
+
+
 P5_FOUND = f"""WITH {_UNITS}, cells AS (
   SELECT record_id, source_block_id block, 'concentration' field, 'concentration' q, 'concentration' uq, concentration cell, '' named FROM measurements
   UNION ALL SELECT record_id, source_block_id, 'temperature', 'temperature', 'temp', temperature, '' FROM measurements
-  UNION ALL SELECT record_id, source_block_id, 'reported_value', q, CASE q WHEN 'tm1' THEN 'temp' ELSE q END, reported_value,
-    CASE WHEN unit IS NULL OR trim(unit) IN ('', '--', 'n/a') THEN
-      regexp_extract(assay_endpoint, '(\\((.+)\\)|\\[(.+)\\]|, *(.+)| in (.+))$', 2) || regexp_extract(assay_endpoint, '(\\((.+)\\)|\\[(.+)\\]|, *(.+)| in (.+))$', 3)
-      || regexp_extract(assay_endpoint, '(\\((.+)\\)|\\[(.+)\\]|, *(.+)| in (.+))$', 4) || regexp_extract(assay_endpoint, '(\\((.+)\\)|\\[(.+)\\]|, *(.+)| in (.+))$', 5)
-    ELSE unit END
+  UNION ALL SELECT record_id, source_block_id, 'reported_value', q, CASE q WHEN 'tm1' THEN 'temp' ELSE q END, reported_value, {_WRITTEN}
   FROM (SELECT *, CASE WHEN lower(assay_endpoint) LIKE '%hic%' THEN 'hic_rt' WHEN lower(assay_endpoint) LIKE '%tm1%' THEN 'tm1' WHEN lower(assay_endpoint) LIKE 'tit%' THEN 'titer'
     WHEN lower(assay_endpoint) LIKE '%visc%' THEN 'viscosity' WHEN lower(assay_endpoint) LIKE '%monomer%' THEN 'monomer' ELSE 'kd' END q FROM measurements)
 ), parsed AS (
-  SELECT record_id, block, field, q, uq, TRY_CAST(replace(regexp_extract(cell, '{_NUM}', 1), ',', '.') AS DOUBLE) x,
-    CASE WHEN trim(regexp_extract(cell, '{_NUM}', 2)) <> '' THEN regexp_extract(cell, '{_NUM}', 2) ELSE named END written FROM cells
+  SELECT record_id, block, field, q, uq, {_cell("cell", "named")} FROM cells
 ), named AS (
   SELECT p.*, CASE WHEN trim(written) <> '' THEN {_key("written")} ELSE {_key("d.default_unit")} END ukey
   FROM parsed p LEFT JOIN source_unit_defaults d ON d.source_block_id = p.block AND d.quantity = p.q WHERE x IS NOT NULL

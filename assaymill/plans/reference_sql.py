@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from .problems_sql import coded
+from ..operators.units import UNITS
+from .problems_sql import coded, numbered, squeezed
 
 
 def strip(c: str) -> str:
@@ -192,24 +193,36 @@ COVERAGE_STATUS = f"""WITH a AS (SELECT {coded("antibody_id", "DOTAD")} id, coun
 SELECT coalesce(a.id, b.id) AS id, coalesce(a.n, 0) AS n_left, coalesce(b.n, 0) AS n_right, CASE WHEN b.n IS NULL THEN 'metadata_only' WHEN a.n IS NULL THEN 'labels_only' ELSE 'in_both' END AS status
 FROM (SELECT * FROM a WHERE id IS NOT NULL) a FULL JOIN (SELECT * FROM b WHERE id IS NOT NULL) b ON a.id = b.id"""
 
-_NUMBER = r"regexp_extract(trim(reported_value), '^([+-]?[0-9]+(?:[.,][0-9]+)?(?:e[+-]?[0-9]+)?)', 1)"
-_MEASURED_CTE = f"""m AS (
-  SELECT DISTINCT ON (record_id) record_id, record_layer, source_block_id AS block, {coded("DOTAD_ID", "DOTAD")} id, technical_replicate,
+# Conversions are fixed values, so both sides take them from one table; spellings are matched in SQL's own way.
+_CONVERSIONS = ", ".join(
+    f"('{q}', '{key}', '{kind}', CAST({a!r} AS DOUBLE), CAST({b!r} AS DOUBLE))" for q, units in UNITS.items() if q not in ("concentration", "temperature") for _, kind, a, b, keys in units for key in keys
+)
+
+
+def _convert(x: str) -> str:
+    return f"CASE kind WHEN 'power' THEN power(CAST(10 AS DOUBLE), a * ({x}) + b) ELSE a * ({x}) + b END"
+
+
+_MEASURED_CTE = f"""conversions(q, spelling, kind, a, b) AS (VALUES {_CONVERSIONS}), delivered AS (
+  SELECT DISTINCT ON (record_id) record_id, record_layer, source_block_id AS block, {coded("DOTAD_ID", "DOTAD")} id, technical_replicate, assay_endpoint, unit, reported_value,
     CASE WHEN lower(assay_endpoint) LIKE '%hic%' THEN 'hic_rt' WHEN lower(assay_endpoint) LIKE '%tm1%' THEN 'tm1' WHEN lower(assay_endpoint) LIKE '%tit_r%' THEN 'titer'
       WHEN lower(assay_endpoint) LIKE '%titre%' THEN 'titer' WHEN lower(assay_endpoint) LIKE '%visc%' THEN 'viscosity' WHEN lower(assay_endpoint) LIKE '%monomer%' THEN 'monomer' ELSE 'kd' END endpoint,
-    coalesce(CAST(production_batch AS VARCHAR), '') batch, coalesce({_value("production_host")}, '') host, coalesce({_value("tag")}, '') tag,
-    TRY_CAST(replace({_NUMBER}, ',', '.') AS DOUBLE) v FROM measurements
+    coalesce(CAST(production_batch AS VARCHAR), '') batch, coalesce({_value("production_host")}, '') host, coalesce({_value("tag")}, '') tag
+  FROM measurements ORDER BY record_id, loaded_at DESC NULLS LAST, withdrawn_at IS NOT NULL DESC, reported_value DESC
+), spelled AS ({numbered("delivered", "endpoint")}), m AS (
+  SELECT s.* EXCLUDE (x, ukey), {_convert("x")} v, least({_convert("x - (0.005 + 1e-10)")}, {_convert("x + (0.005 + 1e-10)")}) low, greatest({_convert("x - (0.005 + 1e-10)")}, {_convert("x + (0.005 + 1e-10)")}) high
+  FROM spelled s LEFT JOIN conversions c ON c.q = s.endpoint AND c.spelling = s.ukey
 )"""
 _REBUILT = f"""{_MEASURED_CTE}, cells AS (
-  SELECT block, id, endpoint, batch, host, tag, count(v) n, sum(CAST(v AS DECIMAL(38, 12))) total FROM m WHERE record_layer = 'raw' AND v IS NOT NULL GROUP BY ALL
+  SELECT block, id, endpoint, batch, host, tag, count(v) n, sum(CAST(v AS DECIMAL(38, 12))) total FROM m WHERE record_layer = 'raw' AND abs(v) < 1e20 GROUP BY ALL
 ), joined AS (
-  SELECT s.record_id, s.block, s.id, s.endpoint, s.v reported, coalesce(sum(c.n), 0) n, sum(c.total) total, concat_ws('|',
+  SELECT s.record_id, s.block, s.id, s.endpoint, s.v reported, s.low, s.high, coalesce(sum(c.n), 0) n, sum(c.total) total, concat_ws('|',
     CASE WHEN min(c.batch) <> max(c.batch) THEN 'batch' END, CASE WHEN s.host = '' AND min(c.host) <> max(c.host) THEN 'host' END, CASE WHEN s.tag = '' AND min(c.tag) <> max(c.tag) THEN 'tag' END) ambiguous
   FROM (SELECT * FROM m WHERE record_layer = 'summary') s LEFT JOIN cells c ON s.block IS NOT DISTINCT FROM c.block AND s.id IS NOT DISTINCT FROM c.id AND s.endpoint = c.endpoint
-    AND (s.host = '' OR s.host = c.host) AND (s.tag = '' OR s.tag = c.tag) GROUP BY s.record_id, s.block, s.id, s.endpoint, s.v, s.host, s.tag
+    AND (s.host = '' OR s.host = c.host) AND (s.tag = '' OR s.tag = c.tag) GROUP BY s.record_id, s.block, s.id, s.endpoint, s.v, s.low, s.high, s.host, s.tag
 ), judged AS (SELECT *, CASE WHEN n > 0 AND ambiguous = '' THEN CAST(total AS DOUBLE) / n END again FROM joined
 ), verdicts AS (SELECT *, CASE WHEN ambiguous <> '' THEN 'partially_verified' WHEN n = 0 THEN 'missing_raw_input' WHEN reported IS NULL THEN 'partially_verified'
-  WHEN block = 'DVPa1' AND abs(reported - again) <= 0.005 + 1e-10 THEN 'verified_at_reported_precision' WHEN block <> 'DVPa1' AND abs(reported - again) <= 1e-12 THEN 'verified_exact'
+  WHEN block = 'DVPa1' AND again BETWEEN low AND high THEN 'verified_at_reported_precision' WHEN block <> 'DVPa1' AND abs(reported - again) <= 1e-12 THEN 'verified_exact'
   WHEN block <> 'DVPa1' AND abs(reported - again) <= greatest(1e-8 * greatest(abs(reported), abs(again)), 1e-8) THEN 'verified_rounding' ELSE 'not_reproducible' END status FROM judged)"""
 RECONSTRUCT_SUMMARY = f"WITH {_REBUILT} SELECT record_id, block, id, endpoint, CAST(n AS BIGINT) AS n, ambiguous, status FROM verdicts"
 RECON_STATUS = f"WITH {_REBUILT} SELECT block, endpoint, status, count(*) AS n_summaries FROM verdicts GROUP BY ALL"
@@ -229,8 +242,9 @@ LINEAGE_CLOSURE = """WITH RECURSIVE e AS (
 SELECT record, ancestor, min(depth) AS depth FROM walk GROUP BY 1, 2"""
 _TABLE = r"regexp_replace(regexp_replace(regexp_replace(lower(trim(output_table, ' ' || chr(9) || chr(10) || chr(160))), '^.*[/\\]', ''), '\.(tsv|csv|parquet|txt|xlsx|json)(\.gz)?$', ''), '[\s\-_.]+', '_', 'g')"
 _TABLES = ["antibody_metadata", "identity_review_queue", "identity_relationship_groups", "identity_relationship_members", "measurements"]
-LINEAGE_COVERAGE = f"""WITH r AS ({" UNION ".join(f"SELECT '{t}' table_name, record_id FROM {t}" for t in _TABLES)}), e AS (SELECT DISTINCT {_TABLE} t, output_record_id k FROM record_lineage)
-SELECT table_name, count(*) AS n_records, count(e.k) AS n_covered, count(e.k) / count(*) AS share FROM r LEFT JOIN e ON e.t = r.table_name AND e.k = r.record_id GROUP BY 1"""
+LINEAGE_COVERAGE = f"""WITH r AS ({" UNION ".join(f"SELECT '{t}' table_name, lower({squeezed('record_id')}) k FROM {t}" for t in _TABLES)}),
+e AS (SELECT DISTINCT {_TABLE} t, lower({squeezed("output_record_id")}) k FROM record_lineage)
+SELECT table_name, count(*) AS n_records, count(e.k) AS n_covered, count(e.k) / count(*) AS share FROM r LEFT JOIN e ON e.t = r.table_name AND e.k = r.k WHERE r.k <> '' GROUP BY 1"""
 _REQUIRED = ["lineage_id", "output_table", "output_record_id", "input_file", "input_sheet", "input_column_or_columns", "transformation_rule_id"]
 LINEAGE_RULES = " UNION ALL ".join(
     [f"SELECT 'blank_{c}' AS rule, count(*) FILTER ({c} IS NULL OR trim({c}) = '') AS violations FROM record_lineage" for c in _REQUIRED]
@@ -272,7 +286,9 @@ SELECT (SELECT count(*) FROM a) AS n_left, (SELECT count(*) FROM b) AS n_right,
   (SELECT count(*) FROM a WHERE k NOT IN (SELECT k FROM b)) AS n_left_only, (SELECT count(*) FROM b WHERE k NOT IN (SELECT k FROM a)) AS n_right_only"""
 COVERAGE_BY_FAMILY = f"""SELECT lower(coalesce(assay_method, '')) AS family, count(*) AS n_rows, count(DISTINCT {coded("DOTAD_ID", "DOTAD")}) AS n_ids FROM measurements GROUP BY 1"""
 SPLIT_LEAKAGE = f"""SELECT g AS grp, count(DISTINCT s) AS n_splits, count(*) AS n_rows FROM (SELECT {coded("sequence_group", "SG")} g,
-  nullif(regexp_replace(lower(trim(split, ' ' || chr(9))), '^training$', 'train'), '') s FROM labels) WHERE g IS NOT NULL AND s IS NOT NULL GROUP BY 1 HAVING count(DISTINCT s) > 1"""
+  CASE WHEN lower(trim(split, ' ' || chr(9))) IN ('dev', 'val', 'valid', 'validation') THEN 'valid' WHEN lower(trim(split, ' ' || chr(9))) IN ('train', 'training') THEN 'train'
+    WHEN lower(trim(split, ' ' || chr(9))) IN ('test', 'testing') THEN 'test' WHEN {_value("split")} IS NOT NULL THEN {_value("split")} END s
+  FROM labels) WHERE g IS NOT NULL AND s IS NOT NULL GROUP BY 1 HAVING count(DISTINCT s) > 1"""
 RELEASE_STATUS = """SELECT source, count(*) AS n_rows, coalesce(bool_or(length(text) > 1000), false) AS any_long_text, bool_and(source_study_id IS NOT NULL) AS all_cited,
   CASE WHEN NOT bool_and(source_study_id IS NOT NULL) THEN 'needs_citation' WHEN bool_or(length(text) > 1000) THEN 'needs_licence_review' ELSE 'releasable' END AS status FROM documents GROUP BY 1"""
 TEXT_FLAGS = r"""SELECT doc_id AS record, length(text) > 1000 AS is_long, regexp_matches(text, 'licen[cs]e') AS names_licence,
