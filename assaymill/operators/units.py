@@ -2,22 +2,23 @@
 
 A value is a number with, possibly, a unit in the same cell; else its unit is
 named in a unit column, in the name of the endpoint, or nowhere. Where it is
-named nowhere, a mixture over the log of the value in the common unit is fitted
-per block of rows: its components are the known units of the quantity, which
-share one centre and spread (learned from the values whose unit is written) and
-are offset by their conversion. The posterior of each component names a unit and
-how sure that is. A documented default of the block fixes the unit; the
-posterior then tells whether the values bear it out.
+named nowhere, a mixture over the log of the value in the common unit tells it. Its components are the
+*factor classes* of the quantity (units with one conversion, such as mg/mL and g/L, are one class, as no number can tell them
+apart); they share one centre and spread, learned per quantity from the values whose unit is written, and
+are offset by their conversions. Per block of rows the posterior averages over the explanations "all in one class, but for
+few strays" and "in several classes, with fitted weights", each weighed by how well it explains all values of the block, so
+that few values give no false certainty. A documented default of the block is a prior that puts all weight on its class, so it
+always decides; the posterior without it then tells whether the values bear it out.
 
 The mixture sees a histogram (counts of all values per block and bin), so
 nothing but bounded tables of bins reaches a Python worker.
 
 Defined cases: null, blank and placeholder cells give no value; a cell that is not
-a number followed by at most one unit text gives none either; a written unit of
+a number followed by at most one unit text, or whose number is beyond the range of a double, gives none either; a written unit of
 unknown spelling counts as unwritten but is flagged ``unknown_unit``; values
 whose unit is unwritten, undocumented and not told apart by the mixture are kept
-and flagged ``uncertain``; extra columns are carried or dropped by the caller;
-empty tables give empty results.
+and flagged ``uncertain``; a converted value too large for its column stands with a null and is flagged ``out_of_range``;
+extra columns are carried or dropped by the caller; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -85,14 +86,28 @@ UNITS["tm1"] = UNITS["temperature"]
 
 #: Quantities on a scale with a shifted zero enter the mixture on their absolute scale.
 SHIFT = {"temperature": 273.15, "tm1": 273.15}
-#: Bins per decade, and the range of decades; values outside share the end bins.
-BINS, LOW, HIGH = 40, -16, 16
+#: Bins per decade, and the lowest decade of a double.
+BINS, LOW = 40, -324
 #: Below this posterior a unit is flagged uncertain.
 SURE = 0.95
+#: Thousandths of a common unit from here on do not fit a bigint.
+LARGEST = 9.2e18
+#: Share of values that may stray in a block of one class.
+STRAY = 1e-3
 
 _NUMBER = r"([+\-−]?(?:[0-9]+(?:[.,][0-9]*)?|[.,][0-9]+)(?:[eE][+\-−]?[0-9]+)?)(?![0-9.,])"
 
 
+
+
+def factor_classes(quantity: str) -> list[tuple[str, str, float, float, list[str]]]:
+    """(name, kind, a, b, units) per conversion; the name is the class's first unit, which is the common unit where it is among them."""
+    classes: dict[tuple, list[str]] = {}
+    for unit, kind, a, b, _ in UNITS[quantity]:
+        classes.setdefault((kind, a, b), []).append(unit)
+    return [(units[0], *conversion, units) for conversion, units in classes.items()]
+
+
 def unit_key(c):
     """Key form of a unit's spelling: lower case without white space, dots, asterisks, middle dots and brackets."""
     return F.translate(F.lower(F.trim(c)), "µμº⁻¹²³−‐–\u00a0\u202f\u3000\t· .*⋅()[]", "uu°-123---")
@@ -104,8 +119,9 @@ def number_text(cleaned):
 
 
 def number_value(text):
-    """A number text as double: a comma is a decimal mark."""
-    return F.translate(text, ",−", ".-").try_cast("double")
+    """A number text as double: a comma is a decimal mark; null where it is beyond the range of a double."""
+    value = F.translate(text, ",−", ".-").try_cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def endpoint_unit(cleaned):
@@ -176,22 +192,23 @@ def long_values(df: DataFrame, id_col: str, block: str) -> DataFrame:
 
 
 def value_bin(x):
-    """Bin of a value: sign and a fixed number of bins per decade; zero has a bin of its own."""
+    """Bin of a value: sign and a fixed number of bins per decade, over all doubles; zero has a bin of its own."""
     level = F.floor(F.log10(F.abs(x)) * BINS).cast("int")
-    level = F.greatest(F.least(level, F.lit(HIGH * BINS)), F.lit(LOW * BINS))
     return F.when(x == 0, F.lit(0)).otherwise(F.signum(x).cast("int") * (level + F.lit(1 - LOW * BINS)))
 
 
 def bin_centre(bins: np.ndarray) -> np.ndarray:
     level = np.abs(bins) - 1 + LOW * BINS
-    return np.where(bins == 0, 0.0, np.sign(bins) * 10.0 ** ((level + 0.5) / BINS))
+    with np.errstate(all="ignore"):
+        return np.where(bins == 0, 0.0, np.sign(bins) * 10.0 ** np.minimum((level + 0.5) / BINS, 308.25))
 
 
 def _log_density(quantity: str, x: np.ndarray, mu: float, sigma: float) -> np.ndarray:
-    """Log density of each value under each unit of the quantity, over the log of the common value."""
-    out = np.full((len(x), len(UNITS[quantity])), -745.0)
+    """Log density of each value under each factor class of the quantity, over the log of the common value."""
+    classes = factor_classes(quantity)
+    out = np.full((len(x), len(classes)), -745.0)
     shift = SHIFT.get(quantity, 0.0)
-    for k, (_, kind, a, b, _) in enumerate(UNITS[quantity]):
+    for k, (_, kind, a, b, _) in enumerate(classes):
         with np.errstate(all="ignore"):
             if kind == "power":
                 t, slope = (a * x + b) * math.log(10), np.full(len(x), abs(a) * math.log(10))
@@ -204,25 +221,40 @@ def _log_density(quantity: str, x: np.ndarray, mu: float, sigma: float) -> np.nd
     return out
 
 
+def _log_sum(values: np.ndarray) -> np.ndarray:
+    top = values.max(axis=1, keepdims=True)
+    return (top + np.log(np.exp(values - top).sum(axis=1, keepdims=True)))[:, 0]
+
+
 def fit_units(quantity: str, bins: np.ndarray, counts: np.ndarray, mu: float, sigma: float, rounds: int = 60) -> np.ndarray:
-    """Posterior of each unit for each bin of one block: EM over the component weights.
+    """Posterior of each factor class for each bin of one block.
 
     Centre and spread are those of the values with a written unit; the offsets of
-    the components are the known conversions; only the weights are fitted.
+    the components are the known conversions. Explanations: one class holds all but ``STRAY`` of the block, for each class; or
+    weights fitted by EM, charged for each fitted weight.
     """
     density = _log_density(quantity, bin_centre(bins), mu, max(sigma, 1e-3))
-    weight = np.full(density.shape[1], 1.0 / density.shape[1])
-    post = np.zeros_like(density)
+    classes, total = density.shape[1], max(counts.sum(), 1.0)
+    weight = np.full(classes, 1.0 / classes)
     for _ in range(rounds):
         post = density + np.log(weight)
         post = np.exp(post - post.max(axis=1, keepdims=True))
         post /= post.sum(axis=1, keepdims=True)
-        new = (post * counts[:, None]).sum(axis=0) / max(counts.sum(), 1)
+        new = (post * counts[:, None]).sum(axis=0) / total
         new = np.maximum(new, 1e-9) / np.maximum(new, 1e-9).sum()
         if np.abs(new - weight).max() < 1e-7:
             break
         weight = new
-    return post
+    stray = STRAY / max(classes - 1, 1)
+    weights = [weight, *(np.where(np.arange(classes) == k, 1 - STRAY, stray) for k in range(classes))]
+    explained, posts = [], []
+    for k, w in enumerate(weights):
+        joint = density + np.log(w)
+        whole = _log_sum(joint)
+        posts.append(np.exp(joint - whole[:, None]))
+        explained.append(float((whole * counts).sum()) - (0.5 * (classes - 1) * math.log(total + 1) if k == 0 else 0.0))
+    share = np.exp(np.array(explained) - max(explained))
+    return sum(p * s for p, s in zip(posts, share / share.sum()))
 
 
 def unit_posteriors(values: DataFrame, units: DataFrame) -> DataFrame:
@@ -243,7 +275,7 @@ def unit_posteriors(values: DataFrame, units: DataFrame) -> DataFrame:
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         quantity = pdf["quantity"].iloc[0]
         mu, sigma = pdf["mu"].iloc[0], pdf["sigma"].iloc[0]
-        names = [u[0] for u in UNITS[quantity]]
+        names = [c[0] for c in factor_classes(quantity)]
         if mu is None or not np.isfinite(mu):
             post = np.full((len(pdf), len(names)), 1.0 / len(names))
         else:
@@ -265,7 +297,8 @@ def harmonise(df: DataFrame, defaults: DataFrame, id_col: str = "record_id", blo
     ``defaults``: source_block_id, quantity, default_unit. Result: record_id, block,
     field, quantity, x, unit, common_value, is_common, unit_source (``written``,
     ``documented``, ``fitted``), confidence, flag (null, ``uncertain``,
-    ``contradicts_fit`` or ``unknown_unit``). One row per delivered cell.
+    ``contradicts_fit``, ``unknown_unit`` or ``out_of_range``). One row per delivered cell.
+    A fitted unit is the first of its factor class.
     """
     spark = df.sparkSession
     table = unit_table(spark)
@@ -281,10 +314,15 @@ def harmonise(df: DataFrame, defaults: DataFrame, id_col: str = "record_id", blo
         .join(F.broadcast(table.select(F.col("uq").alias("quantity"), F.col("ukey").alias("_ukey"), F.col("unit").alias("default_unit"))), ["quantity", "_ukey"])
         .groupBy("block", "quantity").agg(F.min("default_unit").alias("default_unit"))
     )
-    # per (block, quantity) one small table of bins and the documented unit; AQE picks the join by its measured size
+    classes = spark.createDataFrame(
+        [(q, u, c[0]) for q in UNITS for c in factor_classes(q) for u in c[4]], "quantity string, default_unit string, default_class string"
+    )
+    documented = documented.join(F.broadcast(classes), ["quantity", "default_unit"])
+    # per (block, quantity) one small table of bins and the prior; AQE picks the join by its measured size.
+    # A documented default has all prior weight, so the posterior under the prior is its class with certainty.
     fill = fitted.join(documented, ["block", "quantity"], "left").select(
-        "block", "quantity", "bin", F.coalesce("default_unit", "unit_fit").alias("filled"), "unit_fit", "fit_posterior",
-        F.coalesce(F.element_at("posteriors", F.coalesce("default_unit", "unit_fit")), F.lit(0.0)).alias("filled_posterior"),
+        "block", "quantity", "bin", F.coalesce("default_unit", "unit_fit").alias("filled"), F.coalesce("default_class", "unit_fit").alias("filled_class"), "unit_fit", "fit_posterior",
+        F.coalesce(F.element_at("posteriors", F.coalesce("default_class", "unit_fit")), F.lit(0.0)).alias("filled_posterior"),
         F.col("default_unit").isNotNull().alias("is_documented"),
     )
     named = values.filter("not unwritten").select(
@@ -297,17 +335,18 @@ def harmonise(df: DataFrame, defaults: DataFrame, id_col: str = "record_id", blo
             "record_id", "block", "field", "quantity", "x", F.col("filled").alias("unit"),
             F.when(F.col("is_documented"), "documented").otherwise("fitted").alias("unit_source"), F.col("filled_posterior").alias("confidence"),
             F.when(F.col("ukey").isNotNull(), "unknown_unit")
-            .when(F.col("is_documented") & (F.col("filled") != F.col("unit_fit")) & (F.col("fit_posterior") >= SURE), "contradicts_fit")
+            .when(F.col("is_documented") & (F.col("filled_class") != F.col("unit_fit")) & (F.col("fit_posterior") >= SURE), "contradicts_fit")
             .when(F.col("filled_posterior") < SURE, "uncertain").alias("flag"),
         )
     )
     rules = table.select("uq", F.col("unit").alias("_unit"), "kind", "a", "b", "is_common").distinct()
+    common = to_common(F.col("x"), F.col("kind"), F.col("a"), F.col("b"))
     return (
         named.unionByName(unnamed)
         .join(F.broadcast(rules), (F.col("quantity") == F.col("uq")) & (F.col("unit") == F.col("_unit")), "left")
         .select(
-            "record_id", "block", "field", "quantity", "x", "unit", to_common(F.col("x"), F.col("kind"), F.col("a"), F.col("b")).alias("common_value"),
-            "is_common", "unit_source", "confidence", "flag",
+            "record_id", "block", "field", "quantity", "x", "unit", common.alias("common_value"), "is_common", "unit_source", "confidence",
+            F.when(~(F.abs(common) * 1000 < LARGEST), "out_of_range").otherwise(F.col("flag")).alias("flag"),
         )
     )
 
@@ -323,10 +362,10 @@ def rounding_range(harmonised: DataFrame, half: float) -> DataFrame:
 def converted(harmonised: DataFrame) -> DataFrame:
     """(record_id, quantity, common_value in thousandths): each value whose unit is not the common one, once per record.
 
-    Deliveries of one record agree; where they do not, the smallest value is kept.
+    Deliveries of one record agree; where they do not, the smallest value is kept. A value too large for a bigint is null.
     """
+    thousandths = F.round(F.col("common_value") * 1000)
     return (
-        harmonised.filter("not is_common and common_value is not null")
-        .select("record_id", F.col("field").alias("quantity"), F.round(F.col("common_value") * 1000).alias("v"))
-        .filter("abs(v) < 9.2e18").groupBy("record_id", "quantity").agg(F.min("v").cast("bigint").alias("common_value"))
+        harmonised.filter("not is_common").select("record_id", F.col("field").alias("quantity"), F.when(F.abs(thousandths) < LARGEST, thousandths.cast("bigint")).alias("v"))
+        .groupBy("record_id", "quantity").agg(F.min("v").alias("common_value"))
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import antibody_id, record_key, table_key
 from ..operators.orphans import OrphanLedger, orphan_ledger, parents, references
-from ..operators.units import converted, harmonise
+from ..operators.units import converted, harmonise, to_common, unit_table
 from ..session import table
 from .problems_sql import SQL  # noqa: F401
 
@@ -64,5 +64,12 @@ def p5_flags(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("quantity", "unit_source", F.coalesce("flag", F.lit("")).alias("flag")).agg(F.count(F.lit(1)).alias("n_values"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_flags": p5_flags}
+def p5_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Values per quantity, way in which the unit came to be known, and factor class (told by what one of its units is in the common unit)."""
+    rows = harmonise(table(spark, d, "measurements"), table(spark, d, "source_unit_defaults"))
+    one = unit_table(spark).select(F.col("uq").alias("quantity"), "unit", F.round(to_common(F.lit(1.0), F.col("kind"), F.col("a"), F.col("b")), 6).alias("common_of_one")).distinct()
+    return rows.join(F.broadcast(one), ["quantity", "unit"]).groupBy("quantity", "unit_source", "common_of_one").agg(F.count(F.lit(1)).alias("n_values"))
+
+
+QUERIES = {"p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p5_flags": p5_flags, "p5_classes": p5_classes}
 

@@ -99,7 +99,7 @@ def numbered(rows: str, quantity: str) -> str:
     FROM (SELECT *, {_cell("reported_value", _WRITTEN)} FROM {rows}) p LEFT JOIN source_unit_defaults d ON d.source_block_id = p.block AND d.quantity = p.{quantity}"""
 
 
-P5_FOUND = f"""WITH {_UNITS}, cells AS (
+_CELLS = f"""{_UNITS}, cells AS (
   SELECT record_id, source_block_id block, 'concentration' field, 'concentration' q, 'concentration' uq, concentration cell, '' named FROM measurements
   UNION ALL SELECT record_id, source_block_id, 'temperature', 'temperature', 'temp', temperature, '' FROM measurements
   UNION ALL SELECT record_id, source_block_id, 'reported_value', q, CASE q WHEN 'tm1' THEN 'temp' ELSE q END, reported_value, {_WRITTEN}
@@ -110,8 +110,18 @@ P5_FOUND = f"""WITH {_UNITS}, cells AS (
 ), named AS (
   SELECT p.*, CASE WHEN trim(written) <> '' THEN {_key("written")} ELSE {_key("d.default_unit")} END ukey
   FROM parsed p LEFT JOIN source_unit_defaults d ON d.source_block_id = p.block AND d.quantity = p.q WHERE x IS NOT NULL
-)
-SELECT record_id, field AS quantity, CAST(min(round(1000 * CASE kind WHEN 'l' THEN a * x + b WHEN 'd' THEN x / a WHEN 'f' THEN (x - 32) * 5 / 9 ELSE power(10, a * x + b) END)) AS BIGINT) AS common_value
+)"""
+
+
+def _common(x: str) -> str:
+    return f"CASE kind WHEN 'l' THEN a * {x} + b WHEN 'd' THEN {x} / a WHEN 'f' THEN ({x} - 32) * 5 / 9 ELSE power(10, a * {x} + b) END"
+
+
+P5_FOUND = f"""WITH {_CELLS}
+SELECT record_id, field AS quantity, CAST(min(round(1000 * {_common("x")})) AS BIGINT) AS common_value
 FROM named JOIN units ON units.q = named.uq AND units.spelling = named.ukey WHERE NOT common GROUP BY record_id, field"""
+P5_CLASSES = f"""WITH {_CELLS}
+SELECT named.q AS quantity, CASE WHEN trim(written) <> '' THEN 'written' ELSE 'documented' END AS unit_source, round({_common("CAST(1 AS DOUBLE)")}, 6) AS common_of_one, count(*) AS n_values
+FROM named JOIN units ON units.q = named.uq AND units.spelling = named.ukey GROUP BY ALL"""
 
-SQL = {"p4_found": P4_FOUND, "p4_report": P4_REPORT, "p5_found": P5_FOUND}
+SQL = {"p4_found": P4_FOUND, "p4_report": P4_REPORT, "p5_found": P5_FOUND, "p5_classes": P5_CLASSES}

@@ -1,4 +1,7 @@
+import os
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from assaymill.operators import units
@@ -54,6 +57,38 @@ def test_mixture_tells_undocumented_units_apart():
     assert names[post[0].argmax()] == "s" and names[post[-1].argmax()] == "min" and post.max(axis=1).min() > units.SURE
 
 
+def test_few_values_give_no_false_certainty():
+    bins = np.array([int(np.floor(np.log10(7.6) * units.BINS)) + 1 - units.LOW * units.BINS])  # 7.6 nM, or a pKD of 7.6
+    assert units.fit_units("kd", bins, np.ones(1), np.log(5), 2.5).max() < units.SURE
+
+
+def test_units_of_one_factor_are_one_class():
+    assert [c[0] for c in units.factor_classes("concentration")] == ["mg/mL", "µg/mL", "% w/v"]
+    assert all(c[0] == units.UNITS[q][0][0] for q in units.UNITS for c in units.factor_classes(q)[:1])
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_mixture_finds_masked_defaults(spark):
+    """With the documented defaults withheld, the fitted classes are the documented ones."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/measurements.parquet")
+    defaults = spark.read.parquet("/root/testdata/sf0.01/source_unit_defaults.parquet")
+    keys = ["record_id", "field", "x"]
+    known = units.harmonise(rows, defaults).filter("unit_source = 'documented'").select(*keys, F.col("common_value").alias("known")).dropDuplicates(keys)
+    fitted = units.harmonise(rows, defaults.limit(0)).filter("unit_source = 'fitted'").select(*keys, "common_value", "flag").dropDuplicates(keys)
+    right = F.abs(F.col("common_value") - F.col("known")) <= 1e-9 * F.abs("known") + 1e-12
+    told = known.join(fitted, keys).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("flag").isNotNull().cast("int")).alias("unsure"), F.sum((F.col("flag").isNull() & ~right).cast("int")).alias("wrong")
+    ).first()
+    assert told["n"] > 2000 and told["unsure"] < 0.05 * told["n"] and told["wrong"] <= 0.01 * told["n"]
+
+
+def test_values_out_of_range_stay(spark):
+    data = [("a", "b", "kd", "pKD", None, None, "-400"), ("b", "b", "kd", "M", None, None, "1e12"), ("c", "b", "kd", "pM", None, None, "1e999"), ("d", "b", "kd", "pM", None, None, "1e-200")]
+    found = harmonised(spark, data)
+    assert rows(units.converted(found)) == [("a", "reported_value", None), ("b", "reported_value", None), ("d", "reported_value", 0)]
+    assert rows(found.filter("flag = 'out_of_range'"), "record_id") == [("a",), ("b",)]
+
+
 def test_fitted_unit_and_flags(spark):
     known = [(f"k{i}", "a", "hic_rt", "min", None, None, str(4 + i % 5)) for i in range(40)]
     bare = [(f"s{i}", "b", "hic_rt", None, None, None, str(60 * (4 + i % 5))) for i in range(40)]
