@@ -35,4 +35,25 @@ P2_FOUND = f"""WITH RECURSIVE rows0 AS (
   SELECT label_id, s, coalesce(r, ab, sg, 'record ' || label_id) g FROM rows0 LEFT JOIN reach ON v = coalesce(ab, sg)
 ) SELECT label_id FROM named WHERE g IN (SELECT g FROM named GROUP BY g HAVING count(DISTINCT s) > 1)"""
 
-SQL = {"p1_found": P1_FOUND, "p2_found": P2_FOUND}
+def _residues(c: str) -> str:
+    return rf"nullif(regexp_replace(regexp_replace(upper(translate({c}, '{_WIDE}', '{_NARROW}')), '[\s\p{{Z}}\p{{Cc}}\p{{Cf}}\p{{Pd}}._~−]+', '', 'g'), '\*+$', ''), '')"
+
+
+# All pairs of distinct sequences whose lengths allow it, by edit distance alone.
+_OVERLAPS = f"""r AS (
+  SELECT label_id, source, {_residues("VH")} h, {_residues("VL")} l,
+    CASE lower(trim(split, ' ' || chr(9))) WHEN 'train' THEN 'train' WHEN 'training' THEN 'train' WHEN 'test' THEN 'test' WHEN 'testing' THEN 'test'
+      WHEN 'valid' THEN 'valid' WHEN 'val' THEN 'valid' WHEN 'dev' THEN 'valid' WHEN 'validation' THEN 'valid' END s FROM labels
+), u AS (SELECT * FROM r WHERE h IS NOT NULL AND l IS NOT NULL AND s IS NOT NULL
+), a AS (SELECT DISTINCT h, l FROM u WHERE s <> 'train'), b AS (SELECT DISTINCT h, l FROM u WHERE s = 'train'
+), near AS MATERIALIZED (
+  SELECT a.h ha, a.l la, b.h hb, b.l lb FROM a JOIN b ON abs(length(a.h) - length(b.h)) + abs(length(a.l) - length(b.l)) <= 5
+), pairs AS (SELECT *, levenshtein(ha, hb) + levenshtein(la, lb) e FROM near)"""
+P3_FOUND = f"""WITH {_OVERLAPS}
+SELECT least(x.label_id, y.label_id) AS label_id_a, greatest(x.label_id, y.label_id) AS label_id_b
+FROM pairs JOIN u x ON x.h = ha AND x.l = la AND x.s <> 'train' JOIN u y ON y.h = hb AND y.l = lb AND y.s = 'train' WHERE e <= 5"""
+P3_REPORT = f"""WITH {_OVERLAPS}
+SELECT x.s AS split, x.source AS held_source, y.source AS train_source, e = 0 AS equal, count(*) AS n_pairs
+FROM pairs JOIN u x ON x.h = ha AND x.l = la AND x.s <> 'train' JOIN u y ON y.h = hb AND y.l = lb AND y.s = 'train' WHERE e <= 5 GROUP BY ALL"""
+
+SQL = {"p1_found": P1_FOUND, "p2_found": P2_FOUND, "p3_found": P3_FOUND, "p3_report": P3_REPORT}

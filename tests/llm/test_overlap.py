@@ -1,8 +1,11 @@
 import random
 
+import pyarrow as pa
+
 from pyspark.sql import functions as F
 
 from assaymill.functions.text import residues
+from assaymill.llm import overlap
 from assaymill.llm.overlap import CrossSplit
 from tests.conftest import rows
 
@@ -75,3 +78,45 @@ def test_written_forms_and_missing_values(spark):
     assert rows(found(spark, data).record_pairs()) == [(1, 2), (2, 7)]
     assert found(spark, data[2:3]).record_pairs().count() == 0
     assert found(spark, []).record_pairs().count() == 0
+
+
+def test_split_bands_lose_nothing(spark):
+    data = records()
+    df = spark.createDataFrame([(*r, "s", "x", "y") for r in data], SCHEMA)
+    whole = found(spark, data)
+    parts = CrossSplit(df, "id", residues(F.col("VH")), residues(F.col("VL")), F.col("split"), ["source"], part=4)
+    assert whole._parts() is None and parts._parts().count() > 0
+    assert rows(parts.candidates()) == rows(whole.candidates()) and rows(parts.record_pairs()) == rows(whole.record_pairs())
+
+
+def test_every_pair_of_five_edits_meets_in_a_band():
+    """Recall of bands and sketches by length, pairs of exactly five edits far apart, which change most 3-mers."""
+    rnd = random.Random(5)
+    for size in (100, 108, 115, 130, 200):
+        pairs = []
+        for _ in range(300):
+            chains = ["".join(rnd.choice(LETTERS) for _ in range(size)) for _ in range(2)]
+            other = [list(c) for c in chains]
+            for n in range(5):
+                chain = other[n % 2]
+                at = (n // 2 + 1) * size // 4
+                chain[at] = rnd.choice([x for x in LETTERS if x != chain[at]])
+            pairs += [chains, ["".join(c) for c in other]]
+        batch = pa.RecordBatch.from_pydict({"heavy": [p[0] for p in pairs], "light": [p[1] for p in pairs]})
+        out = next(overlap.with_bands([batch])).to_pylist()
+        for a, b in zip(out[::2], out[1::2]):
+            both = len(set(a["codes"]) & set(b["codes"]))
+            assert both / (len(a["codes"]) + len(b["codes"]) - both) >= (len(a["codes"]) - 15) / (len(a["codes"]) + 15) - 1e-9
+            assert any(x == y for x, y in zip(a["keys"], b["keys"]))
+            assert sum(((a[f"s{i}"] ^ b[f"s{i}"]) & (1 << 64) - 1).bit_count() for i in range(4)) <= overlap.SKETCH_BITS
+
+
+def test_verified_pairs_keep_the_similarity(spark):
+    for r in found(spark, records()).sequence_pairs().filter("a <> b").collect():
+        assert 0 <= r["edits"] <= 5 and 0 <= r["jaccard"] <= 1
+
+
+def test_similarity_decides_before_edits(spark, monkeypatch):
+    """Without the similarity no pair comes out, however few its edits."""
+    monkeypatch.setattr(overlap, "least_similarity", lambda a, b, edits: F.lit(2.0))
+    assert found(spark, records()).sequence_pairs().filter("a <> b").count() == 0
