@@ -9,7 +9,7 @@ from ..functions.text import antibody_id, clean, residues, sequence_group_id
 from ..session import table
 from .bpe import encode
 from .components import seed_tree_components
-from .language import fit, text_languages, wrong_labels
+from .language import fit, text_segments, wrong_labels
 from .leakage import leaked_items
 from .overlap import CrossSplit
 from .sql import SQL  # noqa: F401
@@ -78,10 +78,9 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_languages(spark: SparkSession, d: str) -> DataFrame:
-    """Every document's languages with their letters and confidence."""
+    """Every document's stretches in one language, with their place and confidence."""
     documents = table(spark, d, "documents")
-    found = text_languages(documents.select("doc_id", "text"), fit(documents))
-    return found.select("doc_id", F.col("lang_found").alias("lang"), "letters", "confidence")
+    return text_segments(documents.select("doc_id", "text"), fit(documents))
 
 
 QUERIES = {"p8_found": p8_found, "p8_languages": p8_languages, "p7_found": p7_found, "p1_found": p1_found, "p2_found": p2_found, "p2_assign": p2_assign, "p3_found": p3_found, "p3_report": p3_report, "p6_ids": p6_ids}

@@ -223,6 +223,46 @@ def test_held_out_accuracy_and_mixed_texts(spark):
     assert all(0 < r["confidence"] <= 1 for r in got.collect())
 
 
+ENGLISH = "The sample was stored in the cold room for several days. The signal of the control was slightly higher than before. "
+GERMAN = "Die Probe wurde mehrere Tage lang im Kühlraum aufbewahrt. Das Signal der Kontrolle war etwas höher als vorher. "
+
+
+@pytest.mark.skipif(not os.path.isdir(D), reason="no test tables")
+def test_segments_short_sentences_and_quotes(spark):
+    model = language.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    quoted = "> Die Probe wurde mehrere Tage lang im\n> Kühlraum aufbewahrt. Das Signal der Kontrolle\n> war etwas höher als vorher. "
+    texts = [
+        (1, ENGLISH * 2 + GERMAN + ENGLISH), (2, ENGLISH + "\n\n" + quoted), (3, ENGLISH + GERMAN.split(". ")[0] + ". Nicht wahr? " + ENGLISH), (4, ">seq_12\n" + ENGLISH + "\n>chain_7\nACDEFGHIKL"),
+        (5, ENGLISH + "<a href='" + "x/" * 300 + "'>" + GERMAN + "</a>"), (6, None), (7, ENGLISH + GERMAN.split(". ")[0] + ". " + ENGLISH), (8, ENGLISH.replace(" ", "&nbsp;", 3)),
+    ]
+    got = language.text_segments(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()
+    whole = {i: t for i, t in texts}
+    by = {}
+    for r in sorted(got, key=lambda r: (r["doc_id"], r["segment"])):
+        by.setdefault(r["doc_id"], []).append((r["lang"], whole[r["doc_id"]][r["start"] : r["end"]].split()[0].strip(">")))
+    assert [x for x, _ in by[1]] == ["en", "de", "en"] and by[1][1][1] == "Die" and by[1][2][1] == "The"
+    assert [x for x, _ in by[2]] == ["en", "de"] and [x for x, _ in by[3]] == ["en", "de", "en"] and [x for x, _ in by[5]] == ["en", "de"]
+    assert all([x for x, _ in by[i]] == ["en"] for i in (4, 7, 8)) and 6 not in by
+    assert all(0 < r["confidence"] <= 1 and r["letters"] > 0 for r in got)
+
+
+@pytest.mark.skipif(not os.path.isdir(D), reason="no test tables")
+def test_confidence_is_the_share_of_right_answers(spark):
+    """Single sentences of held-out texts, told by a model of the other texts."""
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(documents.filter("doc_id % 2 = 0"))
+    rest = documents.filter("doc_id % 2 = 1").select("text", language.label_code(documents["lang"]).alias("label")).filter("label in ('de', 'en', 'es', 'fr', 'it', 'pt', 'ru', 'zh')").collect()
+    right, sure = [], []
+    for r in rest:
+        parts = [p for p in language.sentences(r["text"]) if language.is_prose(p)]
+        likelihood = language.scores(parts, model.matrix)
+        if parts and language.CODES[int(likelihood.sum(axis=0).argmax())] == r["label"] and len(language.languages_of(parts, likelihood)) == 1:
+            post = language.posterior(likelihood, model.temperature)
+            right += (post.argmax(axis=1) == language.CODES.index(r["label"])).tolist()
+            sure += post.max(axis=1).tolist()
+    assert len(right) > 1000 and abs(np.mean(right) - np.mean(sure)) < 0.01
+
+
 def test_without_labels_no_language_is_told(spark):
     df = spark.createDataFrame([(1, "The sample was stored in the cold room.", None, 1)], "doc_id long, text string, lang string, label int")
     assert language.wrong_labels(df).count() == 0 and language.wrong_labels(df.limit(0)).count() == 0
