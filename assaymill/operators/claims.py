@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import reduce
 
@@ -18,57 +19,91 @@ NUMBER = re.compile(
     re.I,
 )
 SCALE = {"million": 1e6, "billion": 1e9}
-# Numbers that state nothing, by what stands right before them and by what stands within 80 characters.
-RIGHT_BEFORE = re.compile(
-    r"(?:(?:version|v\.?|python|pmid|doi|grant|fund|project|award|no\.)\s*[:#]?\s*|DOTAD[-\s]*|\d\.|(?:fig(?:ure)?s?|tables?|sections?)\.?\s*|figures?\s+\d+\s+(?:and|to|[-–])\s*)$", re.I
-)
-NEAR = re.compile(
-    r"\b(?:PMID|DOI)\b|grant\s+nos?\.?|funded by|funding"
-    r"|(?:January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{1,2},\s+\d{4}", re.I,
-)
-URL = re.compile(r"https?://\S*", re.I)
-REACH = 80
+# Rules by which a number states nothing. Each names the stretch of text it takes, and how many characters around it as well.
+EXCLUSIONS = {
+    "reference_list": (r"\[[\d,\s;–-]{1,60}\]", 0),
+    "year": (r"(?<![\w.,])(?:19|20)\d\d(?!\d|[.,]\d)", 0),
+    "version": (r"(?:version|v\.?|python|\br)\s*\d+(?:\.\d+)+", 0),
+    "record_id": (r"DOTAD[-\s]*\d+(?:\.\d+)*", 0),
+    "label": (r"(?:fig(?:ure)?s?|tables?|sections?)\.?\s*\d+(?:\.\d+)?", 0),
+    "second_figure": (r"figures?\s+\d+\s+(?:and|to|[-–])\s*\d+", 0),
+    "numbered_source": (r"(?:pmid|doi|grant|fund|project|award|no\.)\s*[:#]?\s*\d+", 0),
+    "marker": (r"\(\d{1,3}\)", 0),
+    "link": (r"https?://\S*", 0),
+    "near_identifier": (r"\b(?:PMID|DOI)\b", 80),
+    "near_funding": (r"grant\s+nos?\.?|funded by|funding|natural science foundation", 80),
+    "near_date": (r"(?:January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{1,2},\s+\d{4}", 80),
+}
+# Categories of statements with the texts that tell them, the first that fits.
 CATEGORIES = [
     ("correlation", ["pearson", "spearman", "correlation", "r ="]), ("pca", ["pca", "pc1", "pc2", "pc3", "variance"]),
     ("statistical_test", ["p <", "p =", "wilcoxon", "test"]), ("concordance", ["concordance"]), ("coverage", ["coverage", "covered"]),
     ("missingness", ["missing", "completeness"]), ("benchmark", ["benchmark", "task"]), ("resource_size", ["entry", "record", "annotation", "resource"]),
     ("composition", ["%", "format"]),
 ]
-
-
-def stated(text: str) -> Iterator[tuple[int, str, float, str]]:
-    """(start, token, value, unit) of the numeric statements of a text."""
-    near, urls = [m.span() for m in NEAR.finditer(text)], [m.span() for m in URL.finditer(text)]
+# Words in a claim's metric or category, and the words that paths of its sources hold.
+SOURCE_WORDS = [
+    (["sequence", "entry", "resource_size"], ["sequence", "dataset", "metadata", "benchmark"]), (["annotation", "record"], ["experimental", "literature", "dataset", "benchmark"]),
+    (["coverage", "missing", "composition", "subset"], ["statistics", "metadata", "experimental"]),
+    (["correlation", "pca", "concordance", "pair"], ["statistics", "figure", "harmon", "experimental"]), (["benchmark"], ["benchmark"]),
+]
+#: Characters of context on either side of a statement.
+CONTEXT = 180
+_RULES = [(re.compile(pattern, re.I), reach) for pattern, reach in EXCLUSIONS.values()]
+
+
+def silent_stretches(text: str) -> list[tuple[int, int]]:
+    """Disjoint stretches of a text whose numbers state nothing, in order."""
+    found = sorted((m.start() - reach, m.end() + reach) for pattern, reach in _RULES for m in pattern.finditer(text))
+    out: list[tuple[int, int]] = []
+    for low, high in found:
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], high))
+        else:
+            out.append((low, high))
+    return out
+
+
+def stated(text: str, registered: list[tuple[str, re.Pattern]] = ()) -> Iterator[tuple[str | None, int, str, float | None, str, str]]:
+    """(claim, start, token, value, unit, context) of the statements of a text: first those of registered patterns, then other numbers outside them."""
+
+    def around(low: int, high: int) -> str:
+        return text[max(0, low - CONTEXT) : high + CONTEXT]
+
+    taken = []
+    for claim, pattern in registered:
+        if match := pattern.search(text):
+            taken.append(match.span())
+            yield claim, match.start(), match[0], None, "", around(*match.span())
+    silent = silent_stretches(text)
+    starts = [low for low, _ in silent]
     for match in NUMBER.finditer(text):
-        start, end = match.span("number")
-        token = match.group("number")
-        digits = re.sub(r"\D", "", token)
-        if re.fullmatch(r"(?:19|20)\d\d", digits):
-            continue
-        if any(a < end + REACH and b > start - REACH for a, b in near) or any(a <= start < b for a, b in urls):
-            continue
-        before, after = text[max(0, match.start() - 40) : match.start()], text[end : end + 40]
-        opened = before.rfind("[")
-        if opened >= 0 and re.fullmatch(r"\[[\d,;\s–-]*", before[opened:]) and re.match(r"[\d,;\s–-]*\]", after):
-            continue  # a reference list
-        if before.endswith("(") and after.startswith(")") and len(digits) <= 3:
+        low, high = match.span("number")
+        at = bisect_right(starts, high - 1) - 1
+        if (at >= 0 and silent[at][1] > low) or any(a < match.end() and match.start() < b for a, b in taken):
             continue
-        if RIGHT_BEFORE.search(before):
-            continue
-        unit = (match.group("unit") or "").lower()
-        yield start, token, float(token.replace(",", "")) * SCALE.get(unit, 1), unit
+        unit = (match["unit"] or "").lower()
+        yield None, low, match["number"], float(match["number"].replace(",", "")) * SCALE.get(unit, 1), unit, around(low, match.end())
+
 
+def numeric_claims(df: DataFrame, record: str, text: str, registered: dict[str, str] | None = None) -> DataFrame:
+    """(record, claim, start, token, value, unit, context): one row per statement; positions need Python, so texts with digits run in Arrow batches.
 
-def numeric_claims(df: DataFrame, record: str, text: str) -> DataFrame:
-    """(record, start, token, value, unit): one row per statement; the positions need Python, so it runs in Arrow batches."""
+    ``registered``: patterns (by claim id) that are looked for first; numbers inside what they match are not stated again.
+    """
     kind = df.schema[record].dataType.simpleString()
+    wanted = dict(registered or {})
 
     def run(batches):
+        patterns = [(claim, re.compile(pattern, re.I)) for claim, pattern in wanted.items()]
         for batch in batches:
-            rows = [(r, *c) for r, t in zip(batch["record"], batch["text"]) if t for c in stated(t)]
-            yield pd.DataFrame(rows, columns=["record", "start", "token", "value", "unit"])
+            rows = [(r, *c) for r, t in zip(batch["record"], batch["text"]) for c in stated(t, patterns)]
+            yield pd.DataFrame(rows, columns=["record", "claim", "start", "token", "value", "unit", "context"])
 
-    return df.select(F.col(record).alias("record"), F.col(text).alias("text")).mapInPandas(run, f"record {kind}, start int, token string, value double, unit string")
+    texts = df.select(F.col(record).alias("record"), F.col(text).alias("text")).filter(F.col("text").isNotNull())
+    if not wanted:
+        texts = texts.filter(F.col("text").rlike("[0-9]"))
+    return texts.mapInPandas(run, f"record {kind}, claim string, start int, token string, value double, unit string, context string")
 
 
 def claim_category(text: Column) -> Column:
@@ -82,32 +117,39 @@ def claim_category(text: Column) -> Column:
     return out.otherwise("other")
 
 
+def differences(claimed: Column, recomputed: Column) -> tuple[Column, Column]:
+    """(absolute, relative) difference of two numbers to nine decimals; the relative one is null where the claim is zero."""
+    absolute = recomputed - claimed
+    return F.round(absolute, 9), F.round(absolute / F.nullif(claimed, F.lit(0.0)), 9)
+
+
 def claim_verdicts(claims: DataFrame, facts: DataFrame, key: str, tolerance: float = 0.01) -> DataFrame:
-    """Claims (key, claimed) with the fact of their key (key, fact): difference (recomputed - claimed) and verdict."""
+    """Claims (key, claimed) with the fact of their key (key, fact): differences (recomputed - claimed) and verdict."""
     joined = claims.join(facts.groupBy(key).agg(F.first("fact").alias("fact")), key, "left")
+    absolute, relative = differences(F.col("claimed"), F.col("fact"))
     difference = F.col("fact") - F.col("claimed")
     return joined.select(
-        *claims.columns, "fact", difference.alias("difference"),
+        *claims.columns, "fact", absolute.alias("difference"), relative.alias("relative_difference"),
         F.when(F.col("fact").isNull(), "unresolved").when(F.col("claimed").isNull(), "not_numeric").when(difference == 0, "verified_exact")
         .when(F.abs(difference) <= tolerance * F.abs(F.col("claimed")), "verified_rounding").otherwise("contradicted").alias("verdict"),
     )
 
 
-def candidate_sources(statements: DataFrame, sources: DataFrame, statement: str, source: str, k: int = 12) -> DataFrame:
-    """(statement key, source key, score, rank): the ``k`` sources that share most words with each statement.
+def candidate_sources(claims: DataFrame, files: DataFrame, claim: str, about: Column, path: str, k: int = 12) -> DataFrame:
+    """(claim, path, score, rank): the ``k`` files whose paths hold most of the words that a claim's metric and category (``about``) call for.
 
-    ``statements`` and ``sources`` have a key and ``text``. Words meet by equality, so no cross join is needed; a word
-    that more than a tenth of the sources hold tells them apart too little and is left out of the score.
+    Claims meet paths by equality of words: the words are a fixed table, so each path is marked with those it holds once.
     """
-    def words_of(df: DataFrame, key: str) -> DataFrame:
-        tokens = F.filter(F.split(F.lower("text"), "[^0-9a-z]+"), lambda w: F.length(w) > 2)
-        return df.filter("text is not null").select(F.col(key), F.explode(F.array_distinct(tokens)).alias("word"))
-
-    held = words_of(sources, source)
-    total = sources.agg(F.count(F.lit(1)).alias("all_sources"))
-    telling = held.groupBy("word").agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(total)).filter("n <= greatest(1, all_sources / 10)").select("word")  # one row
-    scored = words_of(statements, statement).join(telling, "word").join(held, "word").groupBy(statement, source).agg(F.count(F.lit(1)).alias("score"))
-    order = Window.partitionBy(statement).orderBy(F.desc("score"), source)
+    low = F.col("low")
+    called = F.array_distinct(F.flatten(F.array(*(
+        F.when(F.exists(F.array(*map(F.lit, marks)), lambda m: F.contains(low, m)), F.array(*map(F.lit, words))).otherwise(F.array().cast("array<string>"))
+        for marks, words in SOURCE_WORDS
+    ))))
+    words = F.array(*map(F.lit, sorted({w for _, group in SOURCE_WORDS for w in group})))
+    held = files.select(F.col(path).alias("path")).select("path", F.explode(F.filter(words, lambda w: F.contains(F.lower("path"), w))).alias("word")).distinct()
+    wanted = claims.select(F.col(claim).alias("claim"), F.lower(about).alias("low")).select("claim", F.explode(called).alias("word")).distinct()
+    scored = wanted.join(held, "word").groupBy("claim", "path").agg(F.count(F.lit(1)).alias("score"))
+    order = Window.partitionBy("claim").orderBy(F.desc("score"), "path")
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 

@@ -74,14 +74,15 @@ def ordinal_ids(groups: DataFrame, prefix: str, width: int, *order: str) -> Data
     return groups.withColumn("group_id", F.format_string(f"{prefix}%0{width}d", number))
 
 
+# Why a member path is unsafe, with the form such paths have (backslashes count as slashes).
+UNSAFE_PATHS = [("absolute_path", r"^/"), ("drive_qualified_path", r"^.:"), ("path_traversal", r"(^|/)\.\.(/|$)")]
+
+
 def member_status(path: Column, is_symlink: Column) -> Column:
     """``safe``, or the reasons an archive member is not, joined by commas."""
-    plain = F.regexp_replace(path, r"\\", "/")
-    reasons = F.concat_ws(
-        ",", F.when(plain.startswith("/"), "absolute_path"), F.when(plain.rlike("^.:"), "drive_qualified_path"),
-        F.when(plain.rlike(r"(^|/)\.\.(/|$)"), "path_traversal"), F.when(is_symlink, "symlink"),
-    )
-    return F.when(reasons == "", "safe").otherwise(reasons)
+    plain = F.translate(path, "\\", "/")
+    reasons = F.concat_ws(",", *(F.when(plain.rlike(form), reason) for reason, form in UNSAFE_PATHS), F.when(is_symlink, "symlink"))
+    return F.coalesce(F.nullif(reasons, F.lit("")), F.lit("safe"))
 
 
 def clashing_paths(members: DataFrame, path: str) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import csv
 import io
 import os
+import re
 import stat
 import zipfile
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,16 +22,25 @@ DEPTH, MEMBER_BYTES = 3, 250 * 1024 * 1024
 
 
 def walk(handle: zipfile.ZipFile, label: str = "", depth: int = 0):
-    """(handle, info, label, depth) of every member; members of nested archives as ``outer!inner``."""
+    """(handle, info, label, depth, note) of every member; members of nested archives as ``outer!inner``.
+
+    ``note`` says of a nested archive whether it was ``opened``, or why not (``too_deep``, ``too_large``, ``broken``); it is empty for other members.
+    """
     for info in handle.infolist():
         name = f"{label}!{info.filename}" if label else info.filename
-        yield handle, info, name, depth
-        if info.filename.lower().endswith(".zip") and not info.is_dir() and depth + 1 < DEPTH and info.file_size <= MEMBER_BYTES:
+        if info.is_dir() or not info.filename.lower().endswith(".zip"):
+            yield handle, info, name, depth, ""
+        elif depth + 1 >= DEPTH or info.file_size > MEMBER_BYTES:
+            yield handle, info, name, depth, "too_deep" if depth + 1 >= DEPTH else "too_large"
+        else:
             try:
-                with zipfile.ZipFile(io.BytesIO(handle.read(info))) as inner:
-                    yield from walk(inner, name, depth + 1)
-            except zipfile.BadZipFile:
+                inner = zipfile.ZipFile(io.BytesIO(handle.read(info)))
+            except (zipfile.BadZipFile, zlib.error, RuntimeError):
+                yield handle, info, name, depth, "broken"
                 continue
+            yield handle, info, name, depth, "opened"
+            with inner:
+                yield from walk(inner, name, depth + 1)
 
 
 class _File(InputPartition):
@@ -48,9 +59,9 @@ class _Reader(DataSourceReader):
 class _Members(_Reader):
     def read(self, partition):
         with zipfile.ZipFile(partition.path) as book:
-            for _, info, name, depth in walk(book):
+            for _, info, name, depth, note in walk(book):
                 link = stat.S_ISLNK((info.external_attr >> 16) & 0xFFFF)
-                yield os.path.basename(partition.path), name, info.filename, depth, info.file_size, info.compress_size, info.is_dir(), link, f"{info.CRC:08x}"
+                yield os.path.basename(partition.path), name, info.filename, depth, info.file_size, info.compress_size, info.is_dir(), link, f"{info.CRC:08x}", note
 
 
 class ZipMembers(DataSource):
@@ -59,7 +70,7 @@ class ZipMembers(DataSource):
         return "zip_members"
 
     def schema(self):
-        return "archive string, member string, path string, depth int, size long, compressed long, is_directory boolean, is_symlink boolean, crc string"
+        return "archive string, member string, path string, depth int, size long, compressed long, is_directory boolean, is_symlink boolean, crc string, note string"
 
     def reader(self, schema):
         return _Members(dict(self.options))
@@ -68,7 +79,7 @@ class ZipMembers(DataSource):
 class _Tables(_Reader):
     def read(self, partition):
         with zipfile.ZipFile(partition.path) as book:
-            for handle, info, name, _ in walk(book):
+            for handle, info, name, *_ in walk(book):
                 low = info.filename.lower()
                 if not low.endswith((".csv", ".tsv", ".txt")) or "__MACOSX/" in info.filename or "/._" in f"/{info.filename}":
                     continue
@@ -100,15 +111,22 @@ def inspected(members: DataFrame) -> DataFrame:
     return members.withColumn("status", member_status(F.col("path"), F.col("is_symlink")))
 
 
-def header_offset(rows: list[list[str]], sequence_headers: set[str], metric_words: list[str]) -> int:
-    """Index of the preview row that looks most like a header (the first of equals)."""
-    best, score = 0, -1
-    for i, row in enumerate(rows):
-        if not row:
-            continue
-        compact = ["".join(ch for ch in c.lower() if ch.isalnum()) for c in row]
-        points = (len(row) >= 2) + 2 * any(c in sequence_headers for c in compact) + 2 * any(w in c.lower() for c in row for w in metric_words)
-        points += any(c in ("predaffinity", "fitness") for c in compact)
-        if points > score:
-            best, score = i, points
-    return best
+#: Header cells, compact, that name a measured value (fixed values).
+VALUE_HEADERS = ["predaffinity", "fitness"]
+
+
+def header_rows(preview: DataFrame, sequence_headers: list[str], metric_words: list[str]) -> DataFrame:
+    """(archive, member, row_no): per table of an archive the preview row that looks most like a header, the first of equals.
+
+    Points: one for several cells, two for a sequence header, two for a word of a metric, one for a header of a measured value. Empty
+    rows are no headers.
+    """
+    low = F.transform("cells", lambda c: F.lower(c))
+    compact = F.transform(low, lambda c: F.regexp_replace(c, r"[^\p{L}\p{N}]", ""))
+    signs = [
+        (1, F.size("cells") >= 2), (2, F.arrays_overlap(compact, F.array(*map(F.lit, sequence_headers)))), (1, F.arrays_overlap(compact, F.array(*map(F.lit, VALUE_HEADERS)))),
+        (2, F.exists(low, lambda c: c.rlike("|".join(map(re.escape, metric_words))))),
+    ]
+    score = sum(F.coalesce(held.cast("int"), F.lit(0)) * points for points, held in signs)
+    scored = preview.filter(F.size("cells") > 0).withColumn("score", score)
+    return scored.groupBy("archive", "member").agg(F.max_by("row_no", F.struct("score", -F.col("row_no"))).alias("row_no"))

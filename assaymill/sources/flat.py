@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import csv
-import json
 import os
 import sqlite3
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -21,6 +20,7 @@ def sniff(sample: bytes, suffix: str = "") -> tuple[str, str]:
     """(encoding, delimiter) of the start of a file."""
     if sample.startswith((b"\xff\xfe", b"\xfe\xff")):
         encoding = "UTF-16"
+        sample = sample[: len(sample) // 2 * 2]
     else:
         try:
             sample.decode("utf-8")
@@ -38,50 +38,68 @@ def sniff(sample: bytes, suffix: str = "") -> tuple[str, str]:
         return encoding, "\t" if first.count("\t") > first.count(",") else ","
 
 
+def head_of(spark: SparkSession, path: str, size: int = SNIFF_BYTES) -> bytes | None:
+    """The first bytes of a file of any file system Spark reads; None where it does not exist."""
+    jvm = spark._jvm
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    system = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(file):
+        return None
+    stream = system.open(file)
+    try:
+        wanted = min(size, system.getFileStatus(file).getLen())
+        return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, wanted))
+    finally:
+        stream.close()
+
+
 def read_delimited(spark: SparkSession, path: str, delimiter: str | None = None, encoding: str | None = None, header: bool = True) -> DataFrame:
     """A delimited file as text columns; a missing file is an empty table."""
-    local = path.removeprefix("file://")
-    if "://" not in path and not os.path.exists(local):
+    head = head_of(spark, path)
+    if head is None:
         return spark.createDataFrame([], "value string")
-    if delimiter is None or encoding is None:
-        with open(local, "rb") as file:
-            found = sniff(file.read(SNIFF_BYTES), os.path.splitext(local)[1])
-        encoding, delimiter = encoding or found[0], delimiter or found[1]
+    found = sniff(head, os.path.splitext(path)[1])
+    encoding, delimiter = encoding or found[0], delimiter or found[1]
     return spark.read.csv(
         path, sep=delimiter, encoding=encoding, header=header, quote='"', escape='"', multiLine=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
         emptyValue="",
     ).na.fill("")
 
 
-def json_shape(text: str) -> str:
-    """How a JSON document holds records: list, dict_of_lists, dict_of_dicts, object or scalar."""
-    value = json.loads(text)
-    if isinstance(value, list):
-        return "list"
-    if not isinstance(value, dict):
-        return "scalar"
-    if value and all(isinstance(v, list) for v in value.values()):
-        return "dict_of_lists"
-    if value and all(isinstance(v, dict) for v in value.values()):
-        return "dict_of_dicts"
-    return "object"
+def read_json_records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, shape, _mapping_key, record): one row per record of JSON documents, the record as text.
+
+    Each file's own shape counts: ``list``, ``dict_of_lists``, ``dict_of_dicts``, ``object`` or ``scalar`` (the whole is the record), or
+    ``broken`` (one row, the text as its record). Empty lists and mappings have no records.
+    """
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("text"))
+    files = files.withColumn("whole", F.try_parse_json("text")).withColumn("kind", F.regexp_extract(F.schema_of_variant("whole"), "^[A-Z]+", 0))
+    entries = F.from_json("text", "map<string,variant>")
+    files = files.withColumn("entries", F.when(F.col("kind") == "OBJECT", entries)).withColumn("values", F.map_values("entries"))
+
+    def all_are(kind: str) -> Column:
+        return (F.size("values") > 0) & F.forall("values", lambda v: F.startswith(F.schema_of_variant(v), F.lit(kind)))
+
+    shape = (
+        F.when(F.col("whole").isNull(), "broken").when(F.col("kind") == "ARRAY", "list").when(F.col("kind") != "OBJECT", "scalar")
+        .when(all_are("ARRAY"), "dict_of_lists").when(all_are("OBJECT"), "dict_of_dicts").otherwise("object")
+    )
+    files = files.withColumn("shape", shape)
+
+    def record(key: Column, value: Column) -> Column:
+        return F.struct(key.cast("string").alias("_mapping_key"), value.alias("record"))
+
+    none, text = F.lit(None), F.col("text")
 
+    def items(of: Column, key: Column) -> Column:
+        return F.transform(F.from_json(of, "array<variant>"), lambda v: record(key, F.to_json(v)))
 
-def read_json_records(spark: SparkSession, path: str) -> DataFrame:
-    """(_mapping_key, record): one row per record of a JSON document, the record as text."""
-    raw = spark.read.text(path, wholetext=True).first()
-    shape = json_shape(raw["value"]) if raw else "list"
-    text = spark.read.text(path, wholetext=True)
-    if shape == "list":
-        items = text.select(F.lit(None).cast("string").alias("_mapping_key"), F.explode(F.from_json("value", "array<string>")).alias("record"))
-    elif shape == "dict_of_dicts":
-        items = text.select(F.explode(F.from_json("value", "map<string,string>")).alias("_mapping_key", "record"))
-    elif shape == "dict_of_lists":
-        lists = text.select(F.explode(F.from_json("value", "map<string,array<string>>")).alias("_mapping_key", "items"))
-        items = lists.select("_mapping_key", F.explode("items").alias("record"))
-    else:
-        items = text.select(F.lit(None).cast("string").alias("_mapping_key"), F.col("value").alias("record"))
-    return items
+    records = (
+        F.when(F.col("shape") == "list", items(text, none)).when(F.col("shape") == "dict_of_dicts", F.transform(F.map_entries("entries"), lambda e: record(e["key"], F.to_json(e["value"]))))
+        .when(F.col("shape") == "dict_of_lists", F.flatten(F.transform(F.map_entries("entries"), lambda e: items(F.to_json(e["value"]), e["key"]))))
+        .otherwise(F.array(record(none, text)))
+    )
+    return files.select("file", "shape", F.explode(records).alias("r")).select("file", "shape", "r.*")
 
 
 class _File(InputPartition):

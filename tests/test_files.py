@@ -85,7 +85,28 @@ def test_archives(spark, tmp_path):
     log = dict(release.safe_extract(path, str(tmp_path / "x")))
     assert log["../bad.csv"] == "blocked:path_traversal" and log["n/in.zip"] == "extracted"
     assert dict(release.safe_extract(path, str(tmp_path / "x")))["n/in.zip"] == "reused"
-    assert archives.header_offset([["note"], ["vh", "fitness"], ["vh", "kd"]], {"vh"}, ["kd"]) == 2
+    preview = [("a", "t", 1, ["note"]), ("a", "t", 2, ["vh", "fitness"]), ("a", "t", 3, ["V H", "kd"]), ("a", "t", 4, ["v.h", "KD (nM)"]), ("a", "u", 1, []), ("a", "u", 2, ["x"])]
+    preview = spark.createDataFrame(preview, "archive string, member string, row_no int, cells array<string>")
+    assert rows(archives.header_rows(preview, ["vh"], ["kd"])) == [("a", "t", 3), ("a", "u", 2)]
+    file = tmp_path / "x" / "n" / "in.zip"
+    file.chmod(0o644)
+    file.write_bytes(b"0" * file.stat().st_size)  # same size, other content
+    assert dict(release.safe_extract(path, str(tmp_path / "x"), str(tmp_path / "log.tsv")))["n/in.zip"] == "extracted"
+    assert "../bad.csv\tblocked:path_traversal" in (tmp_path / "log.tsv").read_text()
+    (tmp_path / "y").mkdir()
+    (tmp_path / "y" / "n").symlink_to(tmp_path / "x")
+    assert dict(release.safe_extract(path, str(tmp_path / "y")))["n/in.zip"] == "blocked:outside_folder"
+
+
+def test_unopened_archives_have_a_row(spark, tmp_path, monkeypatch):
+    with zipfile.ZipFile(tmp_path / "deep.zip", "w") as outer:
+        outer.writestr("bad.zip", b"no archive")
+        outer.writestr("a.csv", "x\n1\n")
+    register_all(spark)
+    assert rows(spark.read.format("zip_members").load(str(tmp_path / "deep.zip")), "member", "note") == [("a.csv", ""), ("bad.zip", "broken")]
+    monkeypatch.setattr(archives, "DEPTH", 1)
+    with zipfile.ZipFile(tmp_path / "deep.zip") as book:
+        assert [(name, note) for *_, name, _, note in archives.walk(book)] == [("bad.zip", "too_deep"), ("a.csv", "")]
 
 
 def test_flat_files(spark, tmp_path):
@@ -96,6 +117,12 @@ def test_flat_files(spark, tmp_path):
     for name, value, want in (("l", [{"a": 1}, {"a": 2}], 2), ("m", {"k": {"a": 1}}, 1), ("d", {"k": [{"a": 1}, {"a": 2}]}, 2), ("o", {"a": 1, "b": 2}, 1)):
         (tmp_path / f"{name}.json").write_text(json.dumps(value))
         assert flat.read_json_records(spark, str(tmp_path / f"{name}.json")).count() == want
+    (tmp_path / "x.json").write_text('{"a": 1')
+    (tmp_path / "y.json").write_text('{"a": "[1"}')
+    (tmp_path / "z.json").write_text("[]")
+    shapes = dict(rows(flat.read_json_records(spark, str(tmp_path / "*.json")), "file", "shape"))
+    assert shapes == {"l.json": "list", "m.json": "dict_of_dicts", "d.json": "dict_of_lists", "o.json": "object", "x.json": "broken", "y.json": "object"}
+    assert rows(flat.read_json_records(spark, str(tmp_path / "d.json")), "_mapping_key", "record") == [("k", '{"a":1}'), ("k", '{"a":2}')]
     base = sqlite3.connect(tmp_path / "b.sqlite")
     base.execute("CREATE TABLE t (x, y)")
     base.execute("INSERT INTO t VALUES (1, 2)")

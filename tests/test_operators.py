@@ -168,10 +168,31 @@ def test_claims(spark):
     assert rows(verdicts, "k", "verdict") == [("a", "verified_exact"), ("b", "verified_rounding"), ("c", "contradicted"), ("d", "unresolved")]
 
 
+@pytest.mark.parametrize("rule, text", [
+    ("reference_list", "as shown [3, 5-7] before"), ("year", "since 1999 on"), ("version", "with Python 3.13 and R 4.2"), ("record_id", "of DOTAD-00012.1 here"), ("label", "see Table 4 and Fig. 2"),
+    ("second_figure", "Figures 2 and 3"), ("numbered_source", "project: 88 is"), ("marker", "authors (12) of"), ("link", "at https://x.org/5/7 is"), ("near_identifier", "55 by DOI"),
+    ("near_funding", "funded by grant 77 and 12 more"), ("near_date", "March 3, 2020 with 15 rows"),
+])
+def test_numbers_that_state_nothing(rule, text):
+    assert list(claims.stated(text)) == [] and rule in claims.EXCLUSIONS
+    assert [c[2] for c in claims.stated("We counted 15 rows, version 3 of 7.5 million.")] == ["15", "3", "7.5"]
+
+
+def test_registered_claims_and_candidates(spark):
+    df = spark.createDataFrame([(1, "A total of 324,000 records in 12 tables."), (2, "none")], "id int, t string")
+    got = claims.numeric_claims(df, "id", "t", {"total": r"total of [\d,]+ records", "absent": "zzz"})
+    assert rows(got, "claim", "token", "value") == [("total", "total of 324,000 records", None), (None, "12", 12.0)]
+    known = spark.createDataFrame([("c1", "coverage share"), ("c2", "benchmark"), ("c3", "nothing")], "claim string, about string")
+    files = spark.createDataFrame([("x/Metadata_statistics.csv",), ("experimental.tsv",), ("benchmark/set.csv",), ("other",)], "path string")
+    assert rows(claims.candidate_sources(known, files, "claim", F.col("about"), "path")) == [
+        ("c1", "experimental.tsv", 1, 2), ("c1", "x/Metadata_statistics.csv", 2, 1), ("c2", "benchmark/set.csv", 1, 1),
+    ]
+
+
 def test_documents(spark):
     script = 'df = read_csv("in/data.csv")\nout_file = path.join(FIGURES_DIR, "Figure (final).pdf")\npage.pdf\ndf.to_csv("res.tsv")\n'
-    assert documents.references_of(script) == [("Figure (final).pdf", "output"), ("in/data.csv", "input"), ("res.tsv", "output")]
     found = documents.script_references(spark.createDataFrame([("s.py", script), ("e.py", None)], "p string, t string"), "p", "t")
+    assert rows(found, "reference", "direction") == [("Figure (final).pdf", "output"), ("in/data.csv", "input"), ("res.tsv", "output")]
     assert documents.dependency_edges(found).count() == 3
     files = spark.createDataFrame([("/root/in/data.csv",)], "path string")
     assert dict(rows(documents.resolve_references(found, files, "path"), "reference", "exists")) == {"Figure (final).pdf": False, "in/data.csv": True, "res.tsv": False}
