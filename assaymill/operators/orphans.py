@@ -1,15 +1,20 @@
-"""References to records that do not exist: an incrementally kept ledger of orphans.
+"""References to records that do not exist: an incrementally kept store of orphans.
 
-The ledger holds two keyed tables: the *parent index* (first arrival, rows
-arrived, rows withdrawn; all three merge by sum or minimum) and the *references*
-with their state. One step takes what happened in a stretch of time:
+The store is a set of append-only tables in the shared folder, keyed by target and partitioned by step and by a bucket of the target:
 
-* arrivals and withdrawals are folded into the parent index;
+* ``index``: per step what arrived and was withdrawn per target (first arrival, rows arrived, rows withdrawn; they merge by minimum and sum);
+* ``settled``: references that were in order when they came;
+* ``changes``: references that were not, and every later change of a state, so the latest row of a reference is its state;
+* ``snapshots``: open orphans per table and month after each step. Written last: a step counts once its snapshot is there.
+
+One step takes what happened in a stretch of time:
+
+* arrivals and withdrawals are appended to the index;
 * references new in the stretch probe the index;
-* waiting orphans are resolved by parents that arrived in the stretch;
-* settled references are opened again where a withdrawal left no live row.
+* references of touched targets, waiting or settled, are judged again: arriving parents resolve waiting orphans, deletions reopen settled references.
 
-Only keys touched in the stretch can change the state of an older reference.
+Only the buckets of touched targets are read, and only new rows and changed states are written. A store in a named folder outlives its session: opened
+again, it goes on after its last whole step. ``compact`` folds many steps into one.
 
 States: ``missing`` (no row of that key), ``withdrawn`` (every row has a
 ``withdrawn_at``), ``late`` (resolved, but the first row came after the
@@ -18,8 +23,8 @@ reference) and ``ok``.
 Defined cases: blank references (null, empty, white space) are not references;
 a null load time of a parent counts as always there, a null load time of a
 reference belongs to the first stretch and is never late; exact copies of a
-reference count once; empty tables give an empty ledger; extra columns are
-ignored, as inputs are projected to the ledger's own columns first.
+reference count once; empty tables give an empty store; extra columns are
+ignored, as inputs are projected to the store's own columns first.
 """
 
 from __future__ import annotations
@@ -65,61 +70,129 @@ def _state(first, arrived, gone, ref_at):
     )
 
 
+_INDEX = "target string, first_at timestamp_ntz, arrived long, gone long, step int, bucket int"
+_SETTLED = "ref_table string, ref_id string, ref_at timestamp_ntz, target string, step int, bucket int"
+_CHANGES = "ref_table string, ref_id string, ref_at timestamp_ntz, target string, state string, step int, bucket int"
+_SNAPSHOTS = "as_of string, ref_table string, period string, state string, n_references long, step int"
+
+
 class OrphanLedger:
-    """Keyed orphan state, advanced stretch by stretch of time."""
+    """Keyed orphan state, advanced stretch by stretch of time. ``folder`` names a store that is kept; without it the store ends with the session."""
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, folder: str | None = None, buckets: int = 16):
+        self.spark, self.buckets = spark, buckets
         self.scratch = Scratch(spark, "orphans")
-        self.step = 0
-        self.index: DataFrame | None = None
-        self.ledger: DataFrame | None = None
-        self.snapshots: list[tuple[str, DataFrame]] = []
-
-    def advance(self, new_references: DataFrame, arrivals: DataFrame, withdrawals: DataFrame) -> None:
-        """Fold one stretch in. ``arrivals`` has (target, at), ``withdrawals`` (target)."""
-        tag = f"{self.step}"
-        delta = (
-            arrivals.select("target", F.col("at").alias("first_at"), F.lit(1).alias("arrived"), F.lit(0).alias("gone"))
-            .unionByName(
-                withdrawals.select(
-                    "target", F.lit(None).cast("timestamp_ntz").alias("first_at"), F.lit(0).alias("arrived"), F.lit(1).alias("gone")
-                )
-            )
-            .withColumn("touched", F.lit(True))
-        )
-        known = delta if self.index is None else delta.unionByName(self.index.withColumn("touched", F.lit(False)))
-        index = self.scratch.put(
-            known.groupBy("target").agg(
-                F.min("first_at").alias("first_at"), F.sum("arrived").alias("arrived"), F.sum("gone").alias("gone"),
-                F.max("touched").alias("touched"),
-            ),
-            f"index-{tag}",
-        )
-        probe = index.drop("touched")
-        fresh = attach(new_references.select(*REFERENCE), probe, "target", "left")
-        fresh = fresh.select(*REFERENCE, _state(F.col("first_at"), F.col("arrived"), F.col("gone"), F.col("ref_at")).alias("state"))
-        if self.ledger is None:
-            ledger = fresh
-        else:
-            changed = index.filter("touched").drop("touched")
-            older = attach(self.ledger, changed, "target", "left")
-            now = _state(F.col("first_at"), F.col("arrived"), F.col("gone"), F.col("ref_at"))
-            older = older.select(*REFERENCE, F.when(F.col("arrived").isNotNull(), now).otherwise(F.col("state")).alias("state"))
-            ledger = older.unionByName(fresh)
-        self.index = probe
-        self.ledger = self.scratch.put(ledger, f"ledger-{tag}")
-        if self.step:
-            for name in ("index", "ledger"):
-                self.scratch.drop(f"{name}-{self.step - 1}")
+        self.root = folder or self.scratch.path("store")
+        self.steps = self._committed()
+        self.step = max(self.steps, default=-1) + 1
+
+    def _committed(self) -> list[int]:
+        """Steps whose snapshot was written whole."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/snapshots")
+        system = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not system.exists(folder):
+            return []
+        marks = system.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/snapshots/step=*/_SUCCESS"))
+        return sorted(int(m.getPath().getParent().getName().split("=")[1]) for m in marks)
+
+    def _table(self, name: str, schema: str, buckets: list[int] | None = None) -> DataFrame:
+        """The rows of all whole steps, of some buckets only where they are named."""
+        if not self.steps:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}")
+        rows = reader.parquet(*(f"{self.root}/{name}/step={k}" for k in self.steps))
+        return rows if buckets is None else rows.filter(F.col("bucket").isin(buckets))
+
+    def _append(self, name: str, rows: DataFrame) -> None:
+        rows = rows.withColumn("bucket", F.pmod(F.xxhash64("target"), F.lit(self.buckets)).cast("int"))
+        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/{name}/step={self.step}")
+
+    def _latest(self, buckets: list[int] | None = None) -> DataFrame:
+        """References that were ever out of order, with their state."""
+        changes = self._table("changes", _CHANGES, buckets)
+        return changes.groupBy(*REFERENCE).agg(F.max_by("state", "step").alias("state"))
+
+    @property
+    def index(self) -> DataFrame:
+        return self._merged(self._table("index", _INDEX))
+
+    @staticmethod
+    def _merged(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("target").agg(F.min("first_at").alias("first_at"), F.sum("arrived").alias("arrived"), F.sum("gone").alias("gone"))
+
+    @property
+    def ledger(self) -> DataFrame:
+        """Every reference with its state."""
+        settled = self._table("settled", _SETTLED).select(*REFERENCE, F.lit("ok").alias("state"), F.lit(-1).alias("step"))
+        changes = self._table("changes", _CHANGES).select(*REFERENCE, "state", "step")
+        return settled.unionByName(changes).groupBy(*REFERENCE).agg(F.max_by("state", "step").alias("state"))
+
+    @property
+    def orphans(self) -> DataFrame:
+        """References that are not in order, with their state; the settled ones are not read."""
+        return self._latest().filter("state <> 'ok'")
+
+    @property
+    def snapshots(self) -> DataFrame:
+        """(as_of, ref_table, period, state, n_references) after every step."""
+        return self._table("snapshots", _SNAPSHOTS).drop("step")
+
+    def _buckets_of(self, rows: DataFrame) -> list[int]:
+        found = rows.select(F.pmod(F.xxhash64("target"), F.lit(self.buckets)).cast("int").alias("b")).distinct().collect()  # at most ``buckets`` numbers
+        return sorted(r["b"] for r in found)
+
+    def advance(self, new_references: DataFrame, arrivals: DataFrame, withdrawals: DataFrame, as_of: str | None = None) -> None:
+        """Fold one stretch in. ``arrivals`` has (target, at), ``withdrawals`` (target); ``as_of`` names the snapshot, else the step's number."""
+        came = arrivals.select("target", F.col("at").alias("first_at"), F.lit(1).alias("arrived"), F.lit(0).alias("gone"))
+        went = withdrawals.select("target", F.lit(None).cast("timestamp_ntz").alias("first_at"), F.lit(0).alias("arrived"), F.lit(1).alias("gone"))
+        before = list(self.steps)
+        self._append("index", self._merged(came.unionByName(went)))
+        delta = self.spark.read.schema(_INDEX).parquet(f"{self.root}/index/step={self.step}").select("target", "first_at", "arrived", "gone")
+        fresh = self.scratch.put(new_references.select(*REFERENCE), "fresh")
+        now = _state(F.col("first_at"), F.col("arrived"), F.col("gone"), F.col("ref_at"))
+        wanted = self._buckets_of(fresh.select("target").unionByName(delta.select("target")))
+
+        def index(buckets: list[int]) -> DataFrame:
+            of_bucket = F.pmod(F.xxhash64("target"), F.lit(self.buckets)).isin(buckets)
+            return self._merged(self._table("index", _INDEX, buckets).select(*delta.columns).unionByName(delta.filter(of_bucket)))
+
+        judged = self.scratch.put(attach(fresh, index(wanted), "target", "left").select(*REFERENCE, now.alias("state")), "judged")
+        self._append("settled", judged.filter("state = 'ok'").drop("state"))
+        changed = judged.filter("state <> 'ok'")
+        if before:
+            touched = self._buckets_of(delta)
+            older = self._table("settled", _SETTLED, touched).select(*REFERENCE, F.lit("ok").alias("state"), F.lit(-1).alias("step"))
+            older = older.unionByName(self._table("changes", _CHANGES, touched).select(*older.columns))
+            # states of the touched targets: the delta's keys with everything known of them
+            fresh_states = index(touched).join(delta.select("target"), "target", "left_semi")
+            older = older.join(fresh_states, "target").groupBy(*REFERENCE, "first_at", "arrived", "gone").agg(F.max_by("state", "step").alias("state"))
+            older = older.withColumn("new", now).filter(F.col("new") != F.col("state")).select(*REFERENCE, F.col("new").alias("state"))
+            changed = changed.unionByName(older)
+        self._append("changes", changed)
+        self.steps = [*before, self.step]
+        self.snapshot().select(F.lit(as_of or str(self.step)).alias("as_of"), "ref_table", "period", "state", F.col("orphans").alias("n_references")).coalesce(1).write.mode(
+            "overwrite"
+        ).parquet(f"{self.root}/snapshots/step={self.step}")
+        for tag in ("fresh", "judged"):
+            self.scratch.drop(tag)
         self.step += 1
 
     def snapshot(self) -> DataFrame:
         """Open orphans per table, state and month of the reference, as of the last step."""
-        return (
-            self.ledger.filter(F.col("state").isin("missing", "withdrawn"))
-            .groupBy("ref_table", F.date_format("ref_at", "yyyy-MM").alias("period"), "state")
-            .agg(F.count(F.lit(1)).alias("orphans"))
-        )
+        open_now = self._latest().filter(F.col("state").isin("missing", "withdrawn"))
+        return open_now.groupBy("ref_table", F.date_format("ref_at", "yyyy-MM").alias("period"), "state").agg(F.count(F.lit(1)).alias("orphans"))
+
+    def compact(self, folder: str) -> OrphanLedger:
+        """The same state and snapshots in one step of a new store."""
+        other = OrphanLedger(self.spark, folder, self.buckets)
+        if other.steps:
+            raise ValueError(f"there is a store already: {folder}")
+        other._append("index", self.index)
+        ledger = self.scratch.put(self.ledger, "compacted")
+        other._append("settled", ledger.filter("state = 'ok'").drop("state"))
+        other._append("changes", ledger.filter("state <> 'ok'"))
+        self.snapshots.coalesce(1).write.mode("overwrite").parquet(f"{other.root}/snapshots/step=0")
+        return OrphanLedger(self.spark, folder, self.buckets)
 
 
 def _between(at, low: datetime | None, high: datetime | None, first: bool):
@@ -131,26 +204,32 @@ def _between(at, low: datetime | None, high: datetime | None, first: bool):
     return (inside | at.isNull()) if first else inside
 
 
-def orphan_ledger(spark: SparkSession, refs: DataFrame, rows: DataFrame, cuts: int = 2) -> OrphanLedger:
-    """Run the ledger over the whole history in ``cuts + 1`` equal stretches of the references' time.
+def month_cuts(low: datetime | None, high: datetime | None, cuts: int) -> list[datetime]:
+    """At most ``cuts`` starts of months that part a span of time into about equal stretches."""
+    if low is None or high is None:
+        return []
+    points = [low + (high - low) * (i + 1) / (cuts + 1) for i in range(cuts)]
+    return sorted({m for p in points if low < (m := p.replace(day=1, hour=0, minute=0, second=0, microsecond=0))})
+
+
+def orphan_ledger(spark: SparkSession, refs: DataFrame, rows: DataFrame, cuts: int = 2, folder: str | None = None) -> OrphanLedger:
+    """Run the store over a whole history, in stretches that end at starts of months (the last one at the end of time).
 
     The number of stretches changes when orphans are seen to open and close, never
-    the final state.
+    the final state. Snapshots are named by the month that a stretch ends before, the last one ``end``.
     """
     scratch = Scratch(spark, "orphan-events")
     refs = scratch.put(refs.select(*REFERENCE).distinct(), "references")
     rows = scratch.put(rows.select("target", "at", "gone_at"), "parents")
     span = refs.agg(F.min("ref_at").alias("a"), F.max("ref_at").alias("b")).first()
-    edges: list[datetime | None] = [None, None]
-    if span and span["a"] is not None and span["b"] > span["a"]:
-        width = (span["b"] - span["a"]) / (cuts + 1)
-        edges = [None, *(span["a"] + width * (i + 1) for i in range(cuts)), None]
-    ledger = OrphanLedger(spark)
+    edges: list[datetime | None] = [None, *month_cuts(span["a"], span["b"], cuts), None]
+    ledger = OrphanLedger(spark, folder)
     for i, (low, high) in enumerate(zip(edges, edges[1:])):
         ledger.advance(
             refs.filter(_between(F.col("ref_at"), low, high, i == 0)),
             rows.filter(_between(F.col("at"), low, high, i == 0)).select("target", "at"),
             rows.filter(F.col("gone_at").isNotNull() & _between(F.col("gone_at"), low, high, i == 0)).select("target"),
+            high.strftime("%Y-%m") if high else "end",
         )
     for tag in ("references", "parents"):
         scratch.drop(tag)

@@ -39,18 +39,15 @@ def reference_ledger(spark: SparkSession, d: str) -> OrphanLedger:
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """References whose target is missing, withdrawn or loaded later."""
-    ledger = reference_ledger(spark, d).ledger
-    return (
-        ledger.filter("state <> 'ok'").select("ref_table", "ref_id", F.date_format("ref_at", "yyyy-MM").alias("period")).distinct()
-    )
+    found = reference_ledger(spark, d).orphans
+    return found.select("ref_table", "ref_id", F.date_format("ref_at", "yyyy-MM").alias("period")).distinct()
 
 
 def p4_report(spark: SparkSession, d: str) -> DataFrame:
-    """Orphan references counted per table, month and state."""
-    ledger = reference_ledger(spark, d).ledger
-    return ledger.filter("state <> 'ok'").groupBy("ref_table", F.date_format("ref_at", "yyyy-MM").alias("period"), "state").agg(
-        F.count(F.lit(1)).alias("n_references")
-    )
+    """References waiting for a record per table, month and state, as of the end of each stretch of time; at the end, late ones as well."""
+    ledger = reference_ledger(spark, d)
+    late = ledger.orphans.filter("state = 'late'").groupBy(F.lit("end").alias("as_of"), "ref_table", F.date_format("ref_at", "yyyy-MM").alias("period"), "state")
+    return ledger.snapshots.unionByName(late.agg(F.count(F.lit(1)).alias("n_references")))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

@@ -46,8 +46,20 @@ keys AS (
 )"""
 
 P4_FOUND = f"WITH {_REFS} SELECT DISTINCT ref_table, ref_id, strftime(loaded_at, '%Y-%m') AS period FROM cases WHERE state <> 'ok'"
-P4_REPORT = f"""WITH {_REFS} SELECT ref_table, strftime(loaded_at, '%Y-%m') AS period, state, count(*) AS n_references
-FROM cases WHERE state <> 'ok' GROUP BY 1, 2, 3"""
+# The same judgement as of a moment: what had arrived, was withdrawn and referred before it.
+_AS_OF = f"""{_REFS}, span AS (SELECT min(loaded_at) a, max(loaded_at) b FROM cases), cuts AS (
+  SELECT DISTINCT strftime(cut, '%Y-%m') as_of, cut FROM (SELECT date_trunc('month', a + (b - a) * i / 3) cut, a FROM span, (VALUES (1), (2)) v(i)) WHERE cut > a
+  UNION ALL SELECT 'end', NULL
+), held AS (
+  SELECT as_of, t, k, count(*) FILTER (cut IS NULL OR loaded_at IS NULL OR loaded_at < cut) came,
+    count(*) FILTER (withdrawn_at IS NOT NULL AND (cut IS NULL OR withdrawn_at < cut)) went FROM keys, cuts WHERE k IS NOT NULL GROUP BY ALL
+), then_open AS (
+  SELECT cuts.as_of, c.*, CASE WHEN coalesce(came, 0) = 0 THEN 'missing' WHEN came <= went THEN 'withdrawn' END open_state
+  FROM cases c JOIN cuts ON cut IS NULL OR c.loaded_at IS NULL OR c.loaded_at < cut LEFT JOIN held ON held.as_of = cuts.as_of AND held.t = c.t AND held.k = c.k
+)"""
+P4_REPORT = f"""WITH {_AS_OF} SELECT as_of, ref_table, strftime(loaded_at, '%Y-%m') AS period, open_state AS state, count(*) AS n_references
+FROM then_open WHERE open_state IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 'end', ref_table, strftime(loaded_at, '%Y-%m'), 'late', count(*) FROM cases WHERE state = 'late' GROUP BY ALL"""
 
 _UNITS = """
 units(q, u, spelling, kind, a, b, common) AS (VALUES

@@ -53,3 +53,33 @@ def test_hot_keys_join_like_others(spark, monkeypatch):
     for how, n in (("inner", 61), ("left", 81)):
         got = skew.attach(big, small, "k", how)
         assert got.count() == n and rows(got) == rows(big.join(small, "k", how))
+
+
+def test_a_named_store_goes_on_and_compacts(spark, tmp_path):
+    parents = spark.createDataFrame([("a", day(1), None), ("b", day(2), None)], ROWS)
+    refs = spark.createDataFrame([("t", "r1", day(3), "a"), ("t", "r2", day(3), "b"), ("t", "r3", day(4), "c")], REFS)
+    none = parents.limit(0)
+    folder = f"file://{tmp_path}/store"
+    orphans.OrphanLedger(spark, folder).advance(refs, parents, none.select("target"), "first")
+    store = orphans.OrphanLedger(spark, folder)
+    assert store.step == 1 and rows(store.orphans, "ref_id", "state") == [("r3", "missing")]
+    store.advance(refs.limit(0), spark.createDataFrame([("c", day(9), None)], ROWS), parents.filter("target = 'a'").select("target"), "second")
+    again = orphans.OrphanLedger(spark, folder)
+    wanted = [("r1", "withdrawn"), ("r2", "ok"), ("r3", "late")]
+    assert rows(again.ledger, "ref_id", "state") == wanted
+    assert rows(again.snapshots, "as_of", "state", "n_references") == [("first", "missing", 1), ("second", "withdrawn", 1)]
+    one = again.compact(f"file://{tmp_path}/one")
+    assert rows(one.ledger, "ref_id", "state") == wanted and one.steps == [0] and one.snapshots.count() == 2
+    one.advance(refs.limit(0), spark.createDataFrame([("a", day(10), None)], ROWS), none.select("target"))
+    assert rows(one.ledger, "ref_id", "state") == [("r1", "ok"), ("r2", "ok"), ("r3", "late")]
+
+
+def test_a_step_writes_what_it_changes(spark, tmp_path):
+    """The second step holds one change, however many references are settled."""
+    parents = spark.range(500).select(F.concat(F.lit("k"), "id").alias("target"), F.lit(day(1)).cast("timestamp_ntz").alias("at"))
+    refs = parents.select(F.lit("t").alias("ref_table"), F.col("target").alias("ref_id"), F.lit(day(2)).cast("timestamp_ntz").alias("ref_at"), "target")
+    store = orphans.OrphanLedger(spark, f"file://{tmp_path}/store", 64)
+    store.advance(refs, parents, parents.select("target").limit(0))
+    store.advance(refs.limit(0), parents.limit(0), parents.select("target").filter("target = 'k7'"))
+    written = {name: spark.read.parquet(f"{tmp_path}/store/{name}/step=1").count() for name in ("index", "changes")}
+    assert written == {"index": 1, "changes": 1} and rows(store.orphans, "ref_id", "state") == [("k7", "withdrawn")]
