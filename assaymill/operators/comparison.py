@@ -55,11 +55,16 @@ def set_comparison(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
     )
 
 
-def new_per_component(df: DataFrame, component: str, identifier: str) -> DataFrame:
-    """Per component in order: rows, distinct ids, and ids no earlier component has."""
-    pairs = df.filter(F.col(identifier).isNotNull()).groupBy(component, identifier).agg(F.count(F.lit(1)).alias("n"))
-    first = pairs.groupBy(identifier).agg(F.min(component).alias("_first"))
-    new = first.groupBy(F.col("_first").alias(component)).agg(F.count(F.lit(1)).alias("new_ids"))
+def new_per_component(df: DataFrame, component: str, identifier: str, order: Column | None = None) -> DataFrame:
+    """Per component: rows, distinct ids, and ids that no earlier component has.
+
+    Components come in the order of ``order`` (its smallest value per component, ties by name), or by name.
+    """
+    place = F.struct(F.min(order if order is not None else F.col(component)).alias("at"), F.col(component).alias("name"))
+    places = df.groupBy(component).agg(place.alias("place"))
+    pairs = df.filter(F.col(identifier).isNotNull()).groupBy(component, identifier).agg(F.count(F.lit(1)).alias("n")).join(places, component)
+    first = pairs.groupBy(identifier).agg(F.min("place").alias("first"))
+    new = first.groupBy(F.col("first.name").alias(component)).agg(F.count(F.lit(1)).alias("new_ids"))
     total = pairs.groupBy(component).agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("distinct_ids"))
     return total.join(new, component, "left").select(component, "n_rows", "distinct_ids", F.coalesce("new_ids", F.lit(0)).alias("new_ids"))
 
@@ -70,6 +75,24 @@ def split_leakage(df: DataFrame, group: Column, split: Column) -> DataFrame:
     return pairs.groupBy("grp").agg(F.count(F.lit(1)).alias("n_splits"), F.sum("n").alias("n_rows")).filter("n_splits > 1")
 
 
-def rebuild_table(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Rows of both tables, the new one's where a key is in both: a keyed upsert without a driver loop."""
-    return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new, allowMissingColumns=True)
+def rebuild_table(old: DataFrame, new: DataFrame, key: str, order: Column | None = None) -> DataFrame:
+    """Rows of both tables, the new one's where a key is in both: a keyed upsert without a driver loop.
+
+    With ``order``, of several new rows of a key the last counts; without it all of them stay. The result is a table to be sorted and written by the caller.
+    """
+    fresh = new if order is None else last_wins(new, [key], order)
+    return old.join(fresh.select(key).distinct(), key, "left_anti").unionByName(fresh, allowMissingColumns=True)
+
+
+def two_key_crosscheck(left: DataFrame, right: DataFrame, first: str, second: str, facts: list[str]) -> DataFrame:
+    """``left`` rows against ``right`` rows of the same pair of keys (the first whatever its case): ``match``, ``differs`` or ``not_found``.
+
+    ``facts`` are the columns compared (null equals null); right keys that repeat count by their smallest facts.
+    """
+    known = right.groupBy(F.lower(first).alias("_first"), F.col(second).alias("_second")).agg(F.min(F.struct(*facts)).alias("_facts"))
+    joined = left.join(known, (F.lower(first) == F.col("_first")) & (F.col(second) == F.col("_second")), "left")
+    same = F.lit(True)
+    for fact in facts:
+        same = same & F.col(fact).eqNullSafe(F.col(f"_facts.{fact}"))
+    status = F.when(F.col("_first").isNull(), "not_found").when(same, "match").otherwise("differs")
+    return joined.select(*left.columns, *(F.col(f"_facts.{f}").alias(f"found_{f}") for f in facts), status.alias("status"))

@@ -72,17 +72,17 @@ def relationship_groups(pairs: DataFrame, context: DataFrame, known: DataFrame)
     shared = pairs.groupBy("pair").agg(F.count(F.lit(1)).alias("ids")).filter("ids > 1").select("pair")
     members = pairs.join(shared, "pair").join(known.withColumn("in_metadata", F.lit(1)), "id", "left")
     sizes = members.groupBy("pair").agg(F.count(F.lit(1)).alias("member_count"), F.count("in_metadata").alias("n_known"), F.min("id").alias("first_id"))
-    facts = members.select("pair", "id").join(context, "id")
-
-    def spread(column: str) -> DataFrame:
-        kinds = facts.select("pair", column).filter(f"`{column}` is not null").distinct()
-        return kinds.groupBy("pair").agg(F.count(F.lit(1)).alias(f"n_{column}"))
-
-    names = facts.select("pair", "name").filter("name is not null").distinct()
-    roots = names.select("pair", parent_root(F.col("name")).alias("root"), has_marker(F.col("name")).alias("marked"))
-    roots = roots.filter("root <> ''").groupBy("pair").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.max("marked").alias("marked"))
-    for part in [*(spread(c) for c in ("name", "format", "target", "stage")), roots]:
-        sizes = sizes.join(part, "pair", "left")
+    # what is known of an id, each fact once, so an id with very many rows is joined as often as it has facts
+    kinds = ("name", "format", "target", "stage")
+    cells = F.explode(F.array(*(F.struct(F.lit(c).alias("kind"), F.col(c).alias("value")) for c in kinds)))
+    known_facts = context.select("id", cells.alias("c")).select("id", "c.*").filter("value is not null").distinct()
+    facts = members.select("pair", "id").join(known_facts, "id").select("pair", "kind", "value").distinct()
+    root = F.when(F.col("kind") == "name", F.nullif(parent_root(F.col("value")), F.lit("")))
+    counted = facts.groupBy("pair").agg(
+        *(F.count(F.when(F.col("kind") == c, 1)).alias(f"n_{c}") for c in kinds), F.min(root).alias("r1"), F.max(root).alias("r2"),
+        F.max(F.when(root.isNotNull(), has_marker(F.col("value")))).alias("marked"),
+    )
+    sizes = sizes.join(counted, "pair", "left")
     n = {c: F.coalesce(F.col(f"n_{c}"), F.lit(0)) for c in ("name", "format", "target", "stage")}
     kind = (
         F.when((F.col("n_known") < F.col("member_count")) & (F.col("n_known") > 0), "metadata_to_sequence_only_link").when(n["name"] <= 1, "same_name_same_pair")

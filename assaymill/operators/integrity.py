@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.blanks import falsy, strip
+from ..session import Scratch
 
 
 def key_value(c: Column, zero_is_missing: bool = False) -> Column:
@@ -22,8 +23,9 @@ def key_value(c: Column, zero_is_missing: bool = False) -> Column:
 
 def key_audit(df: DataFrame, table: str, columns: list[str], zero_is_missing: bool = False) -> DataFrame:
     """One row: how far the columns together are a key of the table."""
-    value = F.concat_ws("\x1f", *(key_value(F.col(c), zero_is_missing) for c in columns))
-    present = reduce(Column.__and__, (~falsy(F.col(c), zero_is_missing) for c in columns))
+    values = [_keys(df, c, zero_is_missing, _plain(df, c)) for c in columns]
+    present = reduce(Column.__and__, (v.isNotNull() for v in values))
+    value = values[0] if len(values) == 1 else F.struct(*(v.alias(f"k{i}") for i, v in enumerate(values)))
     counted = df.select(F.when(present, value).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     out = counted.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.coalesce(F.sum(F.when(F.col("k").isNotNull(), F.col("n"))), F.lit(0)).alias("non_missing"),
@@ -38,37 +40,49 @@ def key_audit(df: DataFrame, table: str, columns: list[str], zero_is_missing: bo
     )
 
 
-def child_counts(child: DataFrame, column: str, zero_is_missing: bool = False) -> DataFrame:
-    return child.select(key_value(F.col(column), zero_is_missing).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+def _plain(df: DataFrame, column: str) -> bool:
+    """Is the column an integral key that needs no written form?"""
+    return df.schema[column].dataType.typeName() in ("long", "integer", "short", "byte")
 
 
-def distinct_keys(parent: DataFrame, column: str, zero_is_missing: bool = False) -> DataFrame:
-    return parent.select(key_value(F.col(column), zero_is_missing).alias("k")).filter("k is not null").distinct()
+def _keys(df: DataFrame, column: str, zero_is_missing: bool, plain: bool) -> Column:
+    if not plain:
+        return key_value(F.col(column), zero_is_missing)
+    return F.when(F.col(column) != 0, F.col(column)) if zero_is_missing else F.col(column)
+
+
+def child_counts(child: DataFrame, column: str, zero_is_missing: bool = False, plain: bool = False) -> DataFrame:
+    return child.select(_keys(child, column, zero_is_missing, plain).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+
+
+def distinct_keys(parent: DataFrame, column: str, zero_is_missing: bool = False, plain: bool = False) -> DataFrame:
+    return parent.select(_keys(parent, column, zero_is_missing, plain).alias("k")).filter("k is not null").distinct()
 
 
 def foreign_key_audit(child: DataFrame, column: str, parent: DataFrame, parent_column: str, name: str, zero_is_missing: bool = False) -> DataFrame:
-    """One row: references matched and unmatched, distinct orphans and the first ten of them."""
-    counts = child_counts(child, column, zero_is_missing)
-    known = distinct_keys(parent, parent_column, zero_is_missing).withColumn("hit", F.lit(1))
-    joined = counts.join(known, "k", "left")
-    orphan = F.col("k").isNotNull() & F.col("hit").isNull()
-    # the ten smallest orphans by a top-k, never a collected set
-    first = joined.filter(orphan).select("k").orderBy("k").limit(10).agg(F.array_join(F.array_sort(F.collect_list("k")), "|").alias("example_orphans"))
-    total = joined.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("child_rows"), F.coalesce(F.sum(F.when(F.col("k").isNotNull(), F.col("n"))), F.lit(0)).alias("references"),
-        F.coalesce(F.sum(F.when(F.col("hit").isNotNull(), F.col("n"))), F.lit(0)).alias("matched"), F.count(F.when(orphan, 1)).alias("distinct_orphans"),
-    )
-    unmatched = F.col("references") - F.col("matched")
-    return total.crossJoin(F.broadcast(first)).select(  # one row by one row
-        F.lit(name).alias("relationship"), "child_rows", "references", "matched", unmatched.alias("unmatched"), "distinct_orphans", "example_orphans",
-        F.when(F.col("references") == 0, "no_references").when(unmatched == 0, "verified").otherwise("has_orphans").alias("status"),
+    """One row: references matched and unmatched, distinct orphans and the first ten of them.
+
+    The join runs once: its orphans are written with their counts, and what is matched follows from the child's own totals. Integral keys
+    are compared as such.
+    """
+    plain = _plain(child, column) and _plain(parent, parent_column)
+    orphans = Scratch(child.sparkSession, "orphans-of").put(orphan_keys(child, column, parent, parent_column, zero_is_missing), "orphans")
+    first = orphans.orderBy("orphan").limit(10).agg(F.array_join(F.array_sort(F.collect_list("orphan")), "|").alias("example_orphans"))
+    lost = orphans.agg(F.count(F.lit(1)).alias("distinct_orphans"), F.coalesce(F.sum("n_references"), F.lit(0)).alias("unmatched"))
+    key = _keys(child, column, zero_is_missing, plain)
+    total = child.agg(F.count(F.lit(1)).alias("child_rows"), F.count(key).alias("references"))
+    return total.crossJoin(F.broadcast(lost)).crossJoin(F.broadcast(first)).select(  # one row each
+        F.lit(name).alias("relationship"), "child_rows", "references", (F.col("references") - F.col("unmatched")).alias("matched"), "unmatched", "distinct_orphans", "example_orphans",
+        F.when(F.col("references") == 0, "no_references").when(F.col("unmatched") == 0, "verified").otherwise("has_orphans").alias("status"),
     )
 
 
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str, zero_is_missing: bool = False) -> DataFrame:
     """(orphan, n_references): every distinct reference without a parent."""
-    counts = child_counts(child, column, zero_is_missing).filter("k is not null")
-    return counts.join(distinct_keys(parent, parent_column, zero_is_missing), "k", "left_anti").select(F.col("k").alias("orphan"), F.col("n").alias("n_references"))
+    plain = _plain(child, column) and _plain(parent, parent_column)
+    counts = child_counts(child, column, zero_is_missing, plain).filter("k is not null")
+    lost = counts.join(distinct_keys(parent, parent_column, zero_is_missing, plain), "k", "left_anti")
+    return lost.select(F.col("k").cast("string").alias("orphan"), F.col("n").alias("n_references"))
 
 
 def relationship_candidates(spark: SparkSession, catalogue: list[tuple[str, str]]) -> DataFrame:

@@ -28,6 +28,39 @@ CATEGORY_RULES = [
 ]
 
 
+# Kinds of files by their endings.
+FILE_KINDS = {
+    "archive": [".zip", ".tar", ".gz", ".tgz", ".bz2", ".7z", ".rar"], "spreadsheet": [".xlsx", ".xlsm", ".xls", ".ods"], "delimited_text": [".csv", ".tsv", ".txt"],
+    "sequence_file": [".fasta", ".fa", ".faa", ".fna", ".fastq"], "script": [".py", ".r", ".rmd", ".ipynb", ".js", ".ts", ".sql", ".sh", ".ps1"],
+    "documentation": [".md", ".rst", ".txt", ".docx", ".pdf"], "figure": [".png", ".jpg", ".jpeg", ".tif", ".tiff", ".svg", ".pdf"], "database": [".sqlite", ".sqlite3", ".db", ".parquet"],
+}
+#: Kinds that are never text.
+BINARY_KINDS = ["archive", "spreadsheet", "figure", "database"]
+# Media types by ending.
+MEDIA_TYPES = {
+    ".csv": "text/csv", ".tsv": "text/tab-separated-values", ".txt": "text/plain", ".json": "application/json", ".md": "text/markdown", ".py": "text/x-python", ".zip": "application/zip",
+    ".xlsx": "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet", ".docx": "application/vnd.openxmlformats-officedocument.wordprocessingml.document",
+    ".png": "image/png", ".pdf": "application/pdf", ".svg": "image/svg+xml", ".sqlite": "application/vnd.sqlite3",
+}
+
+
+def kind_flags(extension: Column) -> dict[str, Column]:
+    """One truth value per kind of file."""
+    return {f"is_{kind}": extension.isin(endings) for kind, endings in FILE_KINDS.items()}
+
+
+def media_type(extension: Column) -> Column:
+    return F.coalesce(*(F.when(extension == ending, F.lit(kind)) for ending, kind in MEDIA_TYPES.items()), F.lit("application/octet-stream"))
+
+
+def is_binary(extension: Column, head: Column) -> Column:
+    """Is a file no text? By its kind, or its first bytes: a zero byte, or over three tenths outside printable ASCII."""
+    text = F.decode(head, "ISO-8859-1")
+    outside = F.length(F.regexp_replace(text, r"[\x20-\x7E\x08\x0C\n\r\t]", ""))
+    by_kind = extension.isin([e for kind in BINARY_KINDS for e in FILE_KINDS[kind]])
+    return by_kind | F.coalesce(F.contains(text, F.lit("\x00")) | (outside / F.nullif(F.length(text), F.lit(0)) > 0.3), F.lit(False))
+
+
 def path_category(path: Column, rules: list[tuple[str, str]] = CATEGORY_RULES) -> Column:
     low = F.lower(F.regexp_replace(path, r"\\", "/"))
     out = None
@@ -68,6 +101,26 @@ def duplicate_groups(items: DataFrame, item: str, content: Column, name: Column
     )
 
 
+# Parts of a file's name that tell versions of one file apart.
+VERSION_MARK = r"(?i)(?:[_\-. ](?:v(?:ersion)?\s*)?\d+(?:\.\d+)*|[_\-. ](?:final|latest|old|copy|\(\d+\)))"
+
+
+def version_stem(name: Column) -> Column:
+    """A file's name in lower case without marks of versions, with its ending."""
+    ending = F.lower(F.regexp_extract(name, r"[^.](\.[^.]*)$", 1))
+    stem = F.lower(F.regexp_replace(F.substring(name, F.lit(1), F.length(name) - F.length(ending)), VERSION_MARK, ""))
+    return F.concat(F.btrim(stem, F.lit(" _-.")), ending)
+
+
+def version_families(items: DataFrame, item: str, name: str) -> DataFrame:
+    """(group_kind, group_key, n_items, first_item, last_item) of files whose names differ by marks of versions only; nothing is preferred or removed."""
+    cells = items.filter(F.col(name).isNotNull()).groupBy(version_stem(F.col(name)).alias("key"), F.lower(name).alias("name")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(item).alias("a"), F.max(item).alias("b")
+    )
+    families = cells.groupBy("key").agg(F.count(F.lit(1)).alias("names"), F.sum("n").alias("n"), F.min("a").alias("first_item"), F.max("b").alias("last_item")).filter("names > 1")
+    return families.select(F.lit("version_family").alias("group_kind"), F.col("key").alias("group_key"), F.col("n").alias("n_items"), "first_item", "last_item")
+
+
 def ordinal_ids(groups: DataFrame, prefix: str, width: int, *order: str) -> DataFrame:
     """Adds ``group_id``: a running number over a total order. For reports, whose rows are groups, not data."""
     number = F.row_number().over(Window.orderBy(*order))

@@ -14,26 +14,25 @@ class LineageCycle(ValueError):
     """A record refers to itself, directly or through others."""
 
 
-def closure(edges: DataFrame, child: str = "child", parent: str = "parent", most: int = 100) -> DataFrame:
+def closure(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
     """(record, ancestor, depth): every ancestor at its smallest depth, by semi-naive rounds.
 
-    Each round joins only the newest pairs with the edges. A cycle raises ``LineageCycle``.
+    Each round joins the newest pairs with the edges and keeps those not known yet, so a pair is expanded once and the rounds end at
+    any depth. A cycle raises ``LineageCycle``. Null ends are no edges.
     """
     scratch = Scratch(edges.sparkSession, "lineage")
     edges = scratch.put(edges.select(F.col(child).alias("child"), F.col(parent).alias("parent")).filter("child is not null and parent is not null").distinct(), "edges")
     newest = scratch.put(edges.select(F.col("child").alias("record"), F.col("parent").alias("ancestor"), F.lit(1).alias("depth")), "depth-1")
-    found = [newest]
-    for depth in range(2, most + 2):
-        if newest.filter("record = ancestor").limit(1).count():
+    found, depth = [newest], 1
+    while not newest.isEmpty():
+        if not newest.filter("record = ancestor").isEmpty():
             raise LineageCycle("lineage contains a cycle")
-        step = newest.join(edges, F.col("ancestor") == F.col("child")).select("record", F.col("parent").alias("ancestor"), F.lit(depth).alias("depth")).distinct()
+        depth += 1
+        step = newest.join(edges, F.col("ancestor") == F.col("child")).select("record", F.col("parent").alias("ancestor")).distinct()
+        step = step.join(reduce(DataFrame.unionByName, found), ["record", "ancestor"], "left_anti").withColumn("depth", F.lit(depth))
         newest = scratch.put(step, f"depth-{depth}")
-        if newest.limit(1).count() == 0:
-            break
         found.append(newest)
-    else:
-        raise LineageCycle(f"lineage is deeper than {most}")
-    return reduce(DataFrame.unionByName, found).groupBy("record", "ancestor").agg(F.min("depth").alias("depth"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def coverage(records: DataFrame, covered: DataFrame, by: str) -> DataFrame:

@@ -2,9 +2,15 @@
 
 Raw and summary values are in long form (block, id, endpoint, conditions, value); each value is
 parsed once. Raw rows are pre-aggregated per combination of conditions, and a summary meets those few
-combinations: an equality join with a residual in which a blank condition of the summary matches any value. A
-summary that leaves a condition open which the raw rows vary is not aggregated. Sums are exact decimals, so
-means do not depend on the order of rows.
+combinations: an equality join with a residual in which a blank or ignored condition of the summary matches any value. A
+summary that leaves a condition open which the raw rows vary is not aggregated. Sums and sums of squares are exact decimals, so
+means and standard deviations do not depend on the order of rows; medians are taken over counts of distinct values.
+
+A policy (keys, ``two_decimals``, ``documented_filter``, ``may_exclude``, each optional) says per key how close a summary must come, whether its raw
+rows passed a documented filter, and whether one unexplained raw row may be missing from it.
+
+Defined cases: null values count for nothing; blank keys match blank keys; values whose square is beyond the decimals have no standard deviation;
+a summary of an endpoint that its block has no raw rows of has no counterpart; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -18,67 +24,130 @@ from ..functions.blanks import is_close
 
 EXACT, RELATIVE, TWO_DECIMALS = 1e-12, 1e-8, 0.005 + 1e-10
 DECIMAL = "decimal(38,12)"
+#: What a summary may report besides its value.
+REPORTED = {"reported": "double", "reported_n": "double", "reported_sd": "double", "low": "double", "high": "double", "function": "string", "ignored": "array<string>"}
+POLICY = ("two_decimals", "documented_filter", "may_exclude")
 
 
 def raw_statistics(raw: DataFrame, keys: list[str], conditions: list[str]) -> DataFrame:
-    """Per keys and conditions: count, exact sum, sum of squares about zero, smallest and largest value."""
+    """Per keys and conditions: count, exact sum and exact sum of squares (null where a square is beyond the decimals)."""
+    square = (F.col("value") * F.col("value")).try_cast(DECIMAL)
     return raw.groupBy(*keys, *conditions).agg(
-        F.count("value").alias("n"), F.sum(F.col("value").cast(DECIMAL)).alias("total"), F.stddev_samp("value").alias("sd"),
-        F.var_pop("value").alias("var"), F.avg("value").alias("mean"),
-    )
+        F.count("value").alias("n"), F.sum(F.col("value").cast(DECIMAL)).alias("total"), F.when(F.count(square) == F.count("value"), F.sum(square)).alias("squares")
+    )
+
+
+def _meets(keys: list[str], conditions: list[str]) -> Column:
+    """Does a raw row (alias r) belong to a summary (alias s)? A blank key matches a blank key; open and ignored conditions match all."""
+    equal = (F.col(f"s.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys)
+    return reduce(Column.__and__, [*equal, *(_is_open(c) | (F.col(f"s.{c}") == F.coalesce(F.col(f"r.{c}"), F.lit(""))) for c in conditions)])
 
 
-def reconstruct(summary: DataFrame, raw: DataFrame, summary_id: str, keys: list[str], conditions: list[str], two_decimals: Column | None = None) -> DataFrame:
-    """One row per summary value: recomputed mean and count, difference and verdict.
+def _is_open(c: str) -> Column:
+    return (F.coalesce(F.col(f"s.{c}"), F.lit("")) == "") | F.coalesce(F.array_contains(F.col("s.ignored"), c), F.lit(False))
 
-    ``summary``: summary_id, keys, conditions, reported (double), and optionally reported_n, reported_sd, and low and high (the
-    range that two reported decimals leave open, where reported is converted from another unit); ``raw``: keys,
-    conditions, value (double). Conditions are texts, blank or null where open.
+
+def reconstruct(
+    summary: DataFrame, raw: DataFrame, summary_id: str, keys: list[str], conditions: list[str], two_decimals: Column | None = None, policy: DataFrame | None = None,
+) -> DataFrame:
+    """One row per summary value: recomputed value, standard deviation and count, and the statuses of each and overall.
+
+    ``summary``: summary_id, keys, conditions, reported (double), and optionally reported_n, reported_sd, function (``median``, else mean),
+    ignored (names of conditions that do not count), and low and high (the range that two reported decimals leave open, where reported is converted
+    from another unit); ``raw``: keys, conditions, value (double). Conditions are texts, blank or null where open. ``policy``: some of the keys, with
+    flags; ``two_decimals`` is its flag as a column of the summary's keys.
     """
-    cells = raw_statistics(raw.filter("value is not null"), keys, conditions)
-    renamed = cells.select(*(F.col(k) for k in keys), *(F.coalesce(F.col(c), F.lit("")).alias(f"raw_{c}") for c in conditions), "n", "total", "var", "mean")
-    # a blank key matches a blank key
-    equal = reduce(Column.__and__, (F.col(f"s.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys))
-    open_or_same = reduce(Column.__and__, ((F.coalesce(F.col(f"s.{c}"), F.lit("")) == "") | (F.col(f"s.{c}") == F.col(f"r.raw_{c}")) for c in conditions))
-    joined = summary.alias("s").join(renamed.alias("r"), equal & open_or_same, "left")
-    open_spread = [
-        F.when(F.max((F.coalesce(F.col(f"s.{c}"), F.lit("")) == "")) & (F.min(f"raw_{c}") != F.max(f"raw_{c}")), F.lit(c)) for c in conditions
-    ]
-    reported = [c for c in ("reported", "reported_n", "reported_sd", "low", "high") if c in summary.columns]
-    grouped = joined.groupBy(F.col(f"s.{summary_id}").alias(summary_id), *(F.col(f"s.{c}").alias(c) for c in [*keys, *reported])).agg(
-        F.coalesce(F.sum("r.n"), F.lit(0)).alias("n"), F.sum("r.total").alias("total"),
-        F.sum(F.col("r.n") * (F.col("r.var") + F.col("r.mean") * F.col("r.mean"))).alias("squares"), F.concat_ws("|", *open_spread).alias("ambiguous"),
-    )
-    for c in ("reported_n", "reported_sd"):
-        if c not in summary.columns:
-            grouped = grouped.withColumn(c, F.lit(None).cast("double"))
-    if "low" not in summary.columns:
-        grouped = grouped.withColumn("low", F.col("reported") - TWO_DECIMALS).withColumn("high", F.col("reported") + TWO_DECIMALS)
-    mean = F.when((F.col("n") > 0) & (F.col("ambiguous") == ""), F.col("total").cast("double") / F.col("n"))
-    out = grouped.withColumn("recomputed", mean)
-    spread = (F.col("squares") - F.col("n") * F.col("recomputed") * F.col("recomputed")) / (F.col("n") - 1)
-    out = out.withColumn("recomputed_sd", F.when((F.col("n") > 1) & F.col("recomputed").isNotNull(), F.sqrt(F.greatest(spread, F.lit(0.0)))))
-    coarse = two_decimals if two_decimals is not None else F.lit(False)
-    return out.withColumn("status", verdict(coarse)).select(summary_id, *keys, "reported", "recomputed", "n", "ambiguous", "status")
-
-
-def verdict(coarse: Column) -> Column:
-    """Overall status of a rebuilt summary; the order of the cases matters."""
-    reported, recomputed = F.col("reported"), F.col("recomputed")
-    exact = F.abs(reported - recomputed) <= EXACT
-    fine = is_close(reported, recomputed, RELATIVE, RELATIVE)
-    within = F.when(coarse, recomputed.between(F.col("low"), F.col("high"))).otherwise(fine)
-    count_ok = F.col("reported_n").isNull() | (F.col("reported_n") == F.col("n"))
-    sd_near = F.when(coarse, F.abs(F.col("reported_sd") - F.col("recomputed_sd")) <= TWO_DECIMALS).otherwise(
-        is_close(F.col("reported_sd"), F.col("recomputed_sd"), RELATIVE, RELATIVE)
-    )
-    sd_ok = F.col("reported_sd").isNull() | F.coalesce(sd_near, F.lit(False))
-    sd_exact = F.col("reported_sd").isNull() | (F.abs(F.col("reported_sd") - F.col("recomputed_sd")) <= EXACT)
-    return (
-        F.when(F.col("ambiguous") != "", "partially_verified").when(F.col("n") == 0, "missing_raw_input").when(reported.isNull(), "partially_verified")
-        .when(within & count_ok & sd_ok & coarse, "verified_at_reported_precision").when(within & count_ok & sd_ok & exact & sd_exact, "verified_exact")
-        .when(within & count_ok & sd_ok, "verified_rounding").when(within, "partially_verified").otherwise("not_reproducible")
+    had = set(summary.columns)
+    for name, kind in REPORTED.items():
+        if name not in had:
+            summary = summary.withColumn(name, F.lit(None).cast(kind))
+    if "low" not in had:
+        summary = summary.withColumn("low", F.col("reported") - TWO_DECIMALS).withColumn("high", F.col("reported") + TWO_DECIMALS)
+    raw = raw.filter("value is not null")
+    cells = raw_statistics(raw, keys, conditions)
+    joined = summary.alias("s").join(cells.alias("r"), _meets(keys, conditions), "left")
+    open_spread = []
+    for c in conditions:
+        value = F.coalesce(F.col(f"r.{c}"), F.lit(""))
+        counts = F.bool_or((F.coalesce(F.col(f"s.{c}"), F.lit("")) == "") & ~F.coalesce(F.array_contains(F.col("s.ignored"), c), F.lit(False)))
+        open_spread.append(F.when(counts & (F.min(F.when(F.col("r.n").isNotNull(), value)) != F.max(F.when(F.col("r.n").isNotNull(), value))), F.lit(c)))
+    grouped = joined.groupBy(F.col(f"s.{summary_id}").alias(summary_id), *(F.col(f"s.{c}").alias(c) for c in [*keys, *REPORTED])).agg(
+        F.coalesce(F.sum("r.n"), F.lit(0)).alias("n"), F.sum("r.total").alias("total"), F.when(F.count("r.squares") == F.count("r.n"), F.sum("r.squares")).alias("squares"),
+        F.concat_ws("|", *open_spread).alias("ambiguous"),
     )
+    grouped = _with_medians(grouped, summary, raw, summary_id, keys, conditions) if "function" in had else grouped.withColumn("median", F.lit(None).cast("double"))
+    # whether a block has raw rows of an endpoint at all; keys are few beside rows
+    kept = [k for k in keys if k != "id"] or keys
+    present = raw.select(*kept).distinct().withColumn("has_raw", F.lit(True))
+    grouped = grouped.alias("g").join(present.alias("p"), reduce(Column.__and__, (F.col(f"g.{k}").eqNullSafe(F.col(f"p.{k}")) for k in kept)), "left").select("g.*", "p.has_raw")
+    if policy is not None:
+        grouped = grouped.join(policy, [k for k in keys if k in policy.columns], "left")
+    for flag in POLICY:
+        given = two_decimals if flag == "two_decimals" and two_decimals is not None else None
+        value = F.coalesce(F.col(flag), F.lit(False)) if policy is not None and flag in policy.columns else F.lit(False)
+        grouped = grouped.withColumn(flag, F.coalesce(given, F.lit(False)) | value if given is not None else value)
+    usable = (F.col("n") > 0) & (F.col("ambiguous") == "")
+    mean = F.when(usable, F.col("total").cast("double") / F.col("n"))
+    out = grouped.withColumn("mean", mean).withColumn("recomputed", F.when(F.lower("function") == "median", F.when(usable, F.col("median"))).otherwise(F.col("mean")))
+    spread = (F.col("squares").cast("double") - F.col("n") * F.col("mean") * F.col("mean")) / (F.col("n") - 1)
+    out = out.withColumn("recomputed_sd", F.when((F.col("n") > 1) & F.col("mean").isNotNull(), F.sqrt(F.greatest(spread, F.lit(0.0)))))
+    out = _with_exclusions(out, summary, raw, summary_id, keys, conditions) if policy is not None and "may_exclude" in policy.columns else out.withColumn("left_out", F.lit(False))
+    for name, status in statuses().items():
+        out = out.withColumn(name, status)
+    return out.select(summary_id, *keys, "reported", "recomputed", "recomputed_sd", "n", "ambiguous", *statuses())
+
+
+def _with_medians(grouped: DataFrame, summary: DataFrame, raw: DataFrame, summary_id: str, keys: list[str], conditions: list[str]) -> DataFrame:
+    """Adds ``median`` to the summaries that report one, over the counts of distinct raw values."""
+    counted = raw.groupBy(*keys, *conditions, "value").agg(F.count(F.lit(1)).alias("times"))
+    wanted = summary.filter(F.lower("function") == "median")
+    met = wanted.alias("s").join(counted.alias("r"), _meets(keys, conditions)).select(F.col(f"s.{summary_id}").alias(summary_id), "r.value", "r.times")
+    return grouped.join(met.groupBy(summary_id).agg(F.expr("percentile(value, 0.5, times)").alias("median")), summary_id, "left")
+
+
+def _with_exclusions(out: DataFrame, summary: DataFrame, raw: DataFrame, summary_id: str, keys: list[str], conditions: list[str]) -> DataFrame:
+    """Adds ``left_out``: the mean of all raw values but one is the reported one, which counts one value less. Distinct values are tried, by subtraction."""
+    cases = out.filter(F.col("may_exclude") & (F.col("ambiguous") == "") & (F.col("n") == F.col("reported_n") + 1) & (F.col("n") > 1)).select(summary_id, "total", "n", F.col("reported").alias("wanted"))
+    counted = raw.groupBy(*keys, *conditions, "value").agg(F.count(F.lit(1)).alias("times"))
+    met = summary.alias("s").join(counted.alias("r"), _meets(keys, conditions)).select(F.col(f"s.{summary_id}").alias(summary_id), "r.value").join(cases, summary_id)
+    rest = (F.col("total") - F.col("value").cast(DECIMAL)).cast("double") / (F.col("n") - 1)
+    hits = met.filter(F.abs(rest - F.col("wanted")) <= RELATIVE).select(summary_id).distinct().withColumn("left_out", F.lit(True))
+    return out.join(hits, summary_id, "left").withColumn("left_out", F.coalesce("left_out", F.lit(False)))
+
+
+def statuses() -> dict[str, Column]:
+    """Statuses of a rebuilt summary: of its value, standard deviation and count, and overall; the order of the cases matters."""
+    coarse, n = F.col("two_decimals"), F.col("n")
+    judged = F.col("recomputed").isNotNull() & F.col("reported").isNotNull()
+    value_exact = F.abs(F.col("reported") - F.col("recomputed")) <= EXACT
+    value_near = F.when(coarse, F.col("recomputed").between(F.col("low"), F.col("high"))).otherwise(is_close(F.col("reported"), F.col("recomputed"), RELATIVE, RELATIVE))
+    gap = F.abs(F.col("reported_sd") - F.col("recomputed_sd"))
+    sd_near = F.when(coarse, gap <= TWO_DECIMALS).otherwise(is_close(F.col("reported_sd"), F.col("recomputed_sd"), RELATIVE, RELATIVE))
+    has_sd, has_count = F.col("reported_sd").isNotNull(), F.col("reported_n").isNotNull()
+    sd_fails = has_sd & ~F.coalesce(sd_near, F.lit(False))
+    count_fails = has_count & (F.col("reported_n") != n)
+    exact = value_exact & (~has_sd | F.coalesce(gap <= EXACT, F.lit(False)))
+
+    def graded(holds_exactly: Column, holds: Column) -> Column:
+        return F.when(holds & coarse, "verified_at_reported_precision").when(holds_exactly, "verified_exact").when(holds, "verified_rounding").otherwise("not_reproducible")
+
+    return {
+        "value_status": F.when(~judged, "not_compared").otherwise(graded(value_exact, value_near)),
+        "sd_status": F.when(~judged | ~has_sd, "not_compared").when(F.col("recomputed_sd").isNull(), "not_reproducible").otherwise(graded(gap <= EXACT, sd_near)),
+        "count_status": F.when(~judged | ~has_count, "not_compared").when(count_fails, "not_reproducible").otherwise("verified_exact"),
+        "status": F.when(F.col("ambiguous") != "", "partially_verified").when((n == 0) & F.col("has_raw").isNull(), "summary_only_no_raw_counterpart")
+        .when(n == 0, "missing_raw_input").when(~judged, "partially_verified")
+        .when(~value_near & F.col("left_out"), "verified_against_source_summary_with_unexplained_raw_exclusion").when(~value_near, "not_reproducible")
+        .when(sd_fails | count_fails, "partially_verified").when(F.col("documented_filter"), "verified_with_documented_filter").otherwise(graded(exact, value_near)),
+    }
+
+
+def contributors(summary: DataFrame, raw: DataFrame, summary_id: str, raw_id: str, keys: list[str], conditions: list[str], sources: list[str]) -> DataFrame:
+    """(summary_id, raw_id, sources): the raw rows that stand behind each summary, with where they come from; rows, not lists."""
+    if "ignored" not in summary.columns:
+        summary = summary.withColumn("ignored", F.lit(None).cast("array<string>"))
+    met = summary.alias("s").join(raw.filter("value is not null").alias("r"), _meets(keys, conditions))
+    return met.select(F.col(f"s.{summary_id}").alias(summary_id), F.col(f"r.{raw_id}").alias(raw_id), *(F.col(f"r.{c}").alias(c) for c in sources)).distinct()
 
 
 def status_summary(rebuilt: DataFrame, *by: str) -> DataFrame:
@@ -92,9 +161,13 @@ def ambiguous_conditions(raw: DataFrame, keys: list[str], conditions: list[str])
 
 
 def replicate_structure(raw: DataFrame, keys: list[str], replicate: str, sets: list[str]) -> DataFrame:
-    """Per keys: values, distinct replicates and distinct values of each of ``sets``; counts, not collected lists."""
-    return raw.groupBy(*keys).agg(
-        F.count("value").alias("n_values"), F.count_distinct(replicate).alias("n_replicates"), *(F.count_distinct(F.nullif(F.col(c), F.lit(""))).alias(f"n_{c}") for c in sets)
+    """Per keys: values, distinct replicates and distinct values of each of ``sets``; counts, not collected lists.
+
+    Rows are counted per combination first, so the distinct counts run over combinations.
+    """
+    cells = raw.groupBy(*keys, replicate, *sets).agg(F.count("value").alias("values"))
+    return cells.groupBy(*keys).agg(
+        F.sum("values").alias("n_values"), F.count_distinct(replicate).alias("n_replicates"), *(F.count_distinct(F.nullif(F.col(c), F.lit(""))).alias(f"n_{c}") for c in sets)
     )
 
 

@@ -53,6 +53,19 @@ def attribution(title: Column, authors: Column, text: Column) -> Column:
     return F.concat_ws("; ", strip(title), strip(authors), F.concat(F.lit("https://doi.org/"), doi_of(text)))
 
 
+# Kinds of publications, by what a source's texts hold, the first that fits.
+PUBLICATIONS = [
+    ("preprint", r"biorxiv|medrxiv|arxiv|preprint"), ("patent", r"\bpatent\b|\bwo ?[0-9]{4}|\bus ?[0-9]{7,}"), ("dataset", r"zenodo|figshare|dryad|dataset"),
+    ("journal_article", r"10\.[0-9]{4,9}/|\bjournal\b|pmid"),
+]
+
+
+def publication_type(text: Column) -> Column:
+    """The kind of publication a source's texts tell; ``unknown`` where they do not."""
+    low = F.lower(text)
+    return F.coalesce(*(F.when(low.rlike(pattern), F.lit(kind)) for kind, pattern in PUBLICATIONS), F.lit("unknown"))
+
+
 def explicit_mappings(dictionary: DataFrame, definition: list[str]) -> DataFrame:
     """Dictionary rows that name a definition in full: every definition column is filled."""
     filled = F.lit(True)

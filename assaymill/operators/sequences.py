@@ -6,14 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.blanks import cell_blank
+from ..functions.text import nfkc
 
 PROTEIN = "ABCDEFGHIKLMNPQRSTUVWXYZ"
 DNA = "ACGTUNRYSWKMBDHV"
 
 
 def release_sequence(c: Column) -> Column:
-    """Upper case without any white space; stop and gap marks stay."""
-    return F.regexp_replace(F.upper(c), r"(?U)\s+", "")
+    """Compatibility form (NFKC), upper case, without any white space; stop and gap marks stay. ASCII texts need no Unicode step."""
+    return F.regexp_replace(F.upper(F.when(c.rlike(r"[^\x00-\x7F]"), nfkc(c)).otherwise(c)), r"(?U)\s+", "")
 
 
 def audit_sequence(c: Column) -> Column:
@@ -102,3 +103,75 @@ def table_profile(df: DataFrame, fields: dict[str, str]) -> DataFrame:
         F.expr("percentile(length(s), 0.5, n)").alias("median_length"),
         F.coalesce(F.sum(F.when(illegal_characters(F.col("s")) != "", F.col("n"))), F.lit(0)).alias("n_illegal"),
     )
+
+
+def all_fingerprints(df: DataFrame, record: str, vh: Column, vl: Column, heavy: Column, light: Column) -> DataFrame:
+    """(record, vh_sha, vl_sha, pair_sha, heavy_only_sha, light_only_sha, full_sha, basis) of records with any chain.
+
+    A chain alone has a hash of its own kind; full chains (heavy and light, one may be missing) are hashed together, each part marked as protein or
+    nucleotide, as the same letters mean different things.
+    """
+
+    def part(c: Column) -> Column:
+        text = release_sequence(c)
+        kind = F.when(text.rlike("^[ACGTUN]+$"), "dna").otherwise("protein")
+        return F.when(present(c), F.concat_ws(":", kind, text)).otherwise(F.lit(""))
+
+    h, l, full = present(vh), present(vl), present(heavy) | present(light)
+    rows = df.filter(h | l | full)
+    return rows.select(
+        F.col(record).alias("record"), F.when(h, sha(release_sequence(vh))).alias("vh_sha"), F.when(l, sha(release_sequence(vl))).alias("vl_sha"), pair_sha(vh, vl).alias("pair_sha"),
+        F.when(h & ~l, sha(F.concat(F.lit("heavy\x1f"), release_sequence(vh)))).alias("heavy_only_sha"), F.when(l & ~h, sha(F.concat(F.lit("light\x1f"), release_sequence(vl)))).alias("light_only_sha"),
+        F.when(full, sha(F.concat_ws("\x1f", part(heavy), part(light)))).alias("full_sha"),
+        F.when(h & l, "paired_vh_vl").when(h, "heavy_only").when(l, "light_only").otherwise("full_chain").alias("basis"),
+    )
+
+
+#: Kinds of fallback fingerprints in order.
+FALLBACKS = ["heavy_light", "heavy_only", "sequence", "cdr"]
+
+
+def fallback_fingerprint(heavy: Column, light: Column, sequence: Column, cdrs: list[Column]) -> Column:
+    """struct(kind, parts): the best identity a record has: both chains, else the heavy chain, else a sequence, else its CDRs; null for none."""
+    def plain(c: Column) -> Column:
+        return F.when(present(c), F.nullif(metric_sequence(c), F.lit("")))
+
+    h, l, s = plain(heavy), plain(light), plain(sequence)
+    loops = F.array_compact(F.array(*(plain(c) for c in cdrs))) if cdrs else F.array().cast("array<string>")
+
+    def found(kind: str, parts: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), parts.alias("parts"))
+
+    return (
+        F.when(h.isNotNull() & l.isNotNull(), found("heavy_light", F.array(h, l))).when(h.isNotNull(), found("heavy_only", F.array(h)))
+        .when(s.isNotNull(), found("sequence", F.array(s))).when(F.size(loops) > 0, found("cdr", loops))
+    )
+
+
+# How a script's text tells which identity its "unique" sequences have, the first that fits.
+UNIQUE_BY = [
+    ("vh_vl_pair", r"(?s)(drop_duplicates|distinct|unique|nunique|group_?by)[^\n]{0,80}(vh[^\n]{0,20}vl|heavy[^\n]{0,20}light)"),
+    ("single_chain", r"(?s)(drop_duplicates|distinct|unique|nunique|group_?by)[^\n]{0,80}(vh|vl|heavy|light|sequence)"),
+    ("identifier", r"(?s)(drop_duplicates|distinct|unique|nunique|group_?by)[^\n]{0,80}(antibody_id|dotad_id|\bid\b)"),
+]
+
+
+def unique_definition(text: Column) -> Column:
+    """What a script counts as a unique sequence; ``not_stated`` where it does not say."""
+    return F.coalesce(*(F.when(F.lower(text).rlike(pattern), F.lit(name)) for name, pattern in UNIQUE_BY), F.lit("not_stated"))
+
+
+def pair_profile(df: DataFrame, vh: str, vl: str) -> DataFrame:
+    """One row: records with both, one or no chain, distinct pairs, pairs that occur several times and the records they hold."""
+    h, l = present(F.col(vh)), present(F.col(vl))
+    rows = df.select(F.when(h & l, "pair").when(h, "heavy").when(l, "light").otherwise("none").alias("has"), F.when(h & l, audit_pair_sha(F.col(vh), F.col(vl))).alias("pair"))
+    counted = rows.groupBy("has", "pair").agg(F.count(F.lit(1)).alias("n"))
+
+    def of(kind: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("has") == kind, F.col("n"))), F.lit(0))
+
+    repeated = (F.col("has") == "pair") & (F.col("n") > 1)
+    return counted.agg(
+        of("pair").alias("n_paired"), of("heavy").alias("n_heavy_only"), of("light").alias("n_light_only"), of("none").alias("n_without"), F.count("pair").alias("n_distinct_pairs"),
+        F.count(F.when(repeated, 1)).alias("n_repeated_pairs"), F.coalesce(F.sum(F.when(repeated, F.col("n"))), F.lit(0)).alias("n_in_repeated_pairs"),
+    )

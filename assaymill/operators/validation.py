@@ -27,7 +27,9 @@ def core_counts(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """(table_name, metric, value): rows, filled ids, distinct ids and repeated ids of tables with an id column."""
     parts = []
     for name, (df, column) in tables.items():
-        counted = df.groupBy(F.nullif(strip(F.col(column).cast("string")), F.lit("")).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+        integral = df.schema[column].dataType.typeName() in ("long", "integer", "short", "byte")
+        key = F.col(column) if integral else F.nullif(strip(F.col(column).cast("string")), F.lit(""))
+        counted = df.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n"))
         one = counted.agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.when(F.col("k").isNotNull(), F.col("n"))), F.lit(0)).alias("ids"), F.count("k").alias("distinct_ids")
         )
@@ -70,3 +72,48 @@ def release_checks(spark, folder: str, expected: dict[str, int], problems: list[
     rows.append(("release", "checksums", len(problems)))
     rows.append(("release", "no_open_run", int((Path(folder) / "active_run.json").exists())))
     return spark.createDataFrame(rows, "table_name string, rule string, violations long")
+
+
+def mapping_violations(mappings: DataFrame, status: str, command: str, *ids: str) -> DataFrame:
+    """Mapped claims that count as verified without a command that reproduces them."""
+    named = F.coalesce(F.trim(command), F.lit("")) != ""
+    return mappings.filter(F.startswith(F.col(status), F.lit("verified")) & ~named).select(*ids, status)
+
+
+def text_safety(texts: DataFrame, record: str, text: str, tokens: list[str]) -> DataFrame:
+    """(record, finding): personal paths and prohibited tokens (whatever their case) of texts; each finding once a text."""
+    low = F.lower(text)
+    findings = [F.when(F.col(text).rlike(PERSONAL_PATH), F.lit("personal_path")), *(F.when(F.contains(low, F.lit(t.lower())), F.lit(f"token:{t}")) for t in tokens)]
+    return texts.select(F.col(record).alias("record"), F.explode(F.array_compact(F.array(*findings))).alias("finding"))
+
+
+# Folders of a person on a machine.
+PERSONAL_PATH = r"(/home/|/Users/|[A-Z]:\\Users\\)[A-Za-z0-9._-]+"
+
+
+def output_checks(files: DataFrame, tables: DataFrame, required: list[str]) -> DataFrame:
+    """(rule, violations) of a finished output tree: ``files`` (path, size, sha256, sha256_before) and ``tables`` (table_name, row_count, declared_rows, column_count, error).
+
+    Required files are there and not empty, paths do not repeat whatever their case, nothing temporary is left, inputs did not change, tables have their
+    declared rows and some columns, no two tables share a name, every error is named.
+    """
+    known = files.filter(F.col("path").isin(required)).agg(F.count_distinct("path").alias("n")).select(F.lit("required_missing").alias("rule"), (F.lit(len(set(required))) - F.col("n")).alias("violations"))
+    row_rules = {
+        "required_empty": F.col("path").isin(required) & (F.col("size") == 0), "temporary_left": F.col("path").rlike(r"(\.tmp|~|/active_run\.json)$|^active_run\.json$"),
+        "hash_missing": F.col("sha256").isNull(), "hash_malformed": ~F.col("sha256").rlike("^[0-9a-f]{64}$"), "input_changed": F.col("sha256_before").isNotNull() & (F.col("sha256_before") != F.col("sha256")),
+        "path_unsafe": F.col("path").rlike(r"^/|(^|/)\.\.(/|$)"),
+    }
+    table_rules = {
+        "rows_differ": F.col("declared_rows").isNotNull() & ~F.col("row_count").eqNullSafe(F.col("declared_rows")), "no_columns": F.col("error").isNull() & (F.coalesce("column_count", F.lit(0)) == 0),
+        "error_unnamed": F.col("error").isNotNull() & (F.trim("error") == ""), "rows_negative": F.col("row_count") < 0,
+    }
+
+    def counted(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+        one = df.agg(*(F.count(F.when(broken, 1)).alias(rule) for rule, broken in rules.items()))
+        return one.select(F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(r).alias("violations")) for r in rules))).alias("r")).select("r.*")
+
+    def repeated(df: DataFrame, key: Column, rule: str) -> DataFrame:
+        return df.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").agg(F.lit(rule).alias("rule"), F.count(F.lit(1)).alias("violations"))
+
+    parts = [known, counted(files, row_rules), repeated(files, F.lower("path"), "paths_clash"), counted(tables, table_rules), repeated(tables, F.lower("table_name"), "tables_clash")]
+    return reduce(DataFrame.unionByName, parts)

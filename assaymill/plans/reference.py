@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.blanks import cell_blank, condition_key, first_nonblank, inferred_type, strip, tolerant_float, truthy
 from ..functions.text import antibody_id, clean, compact_header, identifier_token, record_key, sequence_group_id, split_name, table_key, value_or_null
-from ..operators import claims, comparison, documents, identity, integrity, inventory, lineage, profiling, reconstruct, sequences, validation
+from ..operators import claims, comparison, documents, identity, integrity, inventory, lineage, profiling, reconstruct, registry, sequences, validation
+from ..operators import rows as row_forms
 from ..operators.statistics import explained_variance
 from ..operators.units import endpoint_quantity, harmonise, number_text, number_value, rounding_range
 from ..session import Scratch, table
@@ -123,8 +124,9 @@ def seq_table_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _names(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "antibody_metadata")
-    return identity.distinct_rows(rows, id=antibody_id(F.col("antibody_id")), name=identity.normal_name(F.col("antibody_name")))
+    # case folding needs Python, so names are made distinct first
+    rows = table(spark, d, "antibody_metadata").select(antibody_id(F.col("antibody_id")).alias("id"), "antibody_name").filter("id is not null and antibody_name is not null").distinct()
+    return identity.distinct_rows(rows, id=F.col("id"), name=identity.normal_name(F.col("antibody_name")))
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -137,8 +139,9 @@ def identity_candidates(spark: SparkSession, d: str) -> DataFrame:
 
 def relationship_groups(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "antibody_metadata").filter("antibody_id is not null")
+    rows = rows.select(antibody_id(F.col("antibody_id")).alias("id"), "antibody_name", "Format", "Target", "Highest_Clin_Trial").distinct()
     context = rows.select(
-        antibody_id(F.col("antibody_id")).alias("id"), identity.normal_name(F.col("antibody_name")).alias("name"), F.lower(value_or_null(F.col("Format"))).alias("format"),
+        "id", identity.normal_name(F.col("antibody_name")).alias("name"), F.lower(value_or_null(F.col("Format"))).alias("format"),
         F.lower(value_or_null(F.col("Target"))).alias("target"), F.lower(value_or_null(F.col("Highest_Clin_Trial"))).alias("stage"),
     )
     return identity.relationship_groups(_pairs(spark, d), context, context.select("id").distinct())
@@ -393,7 +396,100 @@ def event_paths(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pca_explained_variance(spark: SparkSession, d: str) -> DataFrame:
-    return explained_variance(table(spark, d, "embeddings"), "embedding")
+    return explained_variance(table(spark, d, "embeddings"), "embedding", 64)
+
+
+def provenance_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Metadata rows with where they come from."""
+    df = table(spark, d, "antibody_metadata").select("record_id", "antibody_id", "excel_row", "Format")
+    return row_forms.with_provenance(df, F.col("excel_row"), source_file="metadata.xlsx", source_sheet="metadata", release_version="1.0").drop("excel_row")
+
+
+def block_descriptions(spark: SparkSession, d: str) -> DataFrame:
+    """One description row per block and layer of measurements."""
+    return row_forms.describe_blocks(table(spark, d, "measurements"), "source_block_id", "record_layer", antibody_id(F.col("DOTAD_ID")), "input_file")
+
+
+def sheet_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Lineage edges per input sheet, in the order in which sheets first occur."""
+    return row_forms.counted_in_order(table(spark, d, "record_lineage"), "input_sheet", "input_excel_row")
+
+
+CONFLICTS = ["same_id_different_pairs", "different_ids_same_pair", "same_normalized_name_different_pairs", "different_names_same_pair", "alias_across_ids", "parent_mutant_candidate"]
+
+
+def category_places(spark: SparkSession, d: str) -> DataFrame:
+    """Categories of identity candidates in their fixed order, with the first key of each whatever its case."""
+    found = identity_candidates(spark, d).select("category", "conflict_key", row_forms.category_place(F.col("category"), CONFLICTS).cast("int").alias("place"))
+    first = found.groupBy("category", "place").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*(c.alias(n) for c, n in zip(row_forms.folded_order(F.col("conflict_key")), ("folded", "key"))))).alias("f"))
+    return first.select("category", "place", "n", F.col("f.key").alias("first_key"))
+
+
+def table_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Output tables of lineage edges below a release folder."""
+    paths = table(spark, d, "record_lineage").filter("output_table is not null")
+    return paths.groupBy(row_forms.relative_path(F.col("output_table"), "release/").alias("path")).agg(F.count(F.lit(1)).alias("n_edges"))
+
+
+def first_edge(spark: SparkSession, d: str) -> DataFrame:
+    """The first edge of the measurements table, by its id."""
+    edges = table(spark, d, "record_lineage").select("lineage_id", "output_table")
+    return row_forms.first_row(edges, table_key(F.col("output_table")) == "measurements", "lineage_id", "output_table")
+
+
+def open_reviews(spark: SparkSession, d: str) -> DataFrame:
+    """Reviews that are not decided."""
+    return row_forms.unresolved(table(spark, d, "identity_review_queue"), "status", ["CONFIRMED", "REJECTED"], "record_id", "review_id")
+
+
+def chain_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    """Hashes of chains alone and together, counted by basis."""
+    none = F.lit(None).cast("string")
+    found = sequences.all_fingerprints(table(spark, d, "labels"), "label_id", F.col("VH"), F.col("VL"), none, none)
+    return found.groupBy("basis").agg(
+        F.count(F.lit(1)).alias("n_records"), F.count_distinct("pair_sha").alias("n_pairs"), F.count_distinct("heavy_only_sha").alias("n_heavy_only"),
+        F.count_distinct("light_only_sha").alias("n_light_only"), F.count_distinct("full_sha").alias("n_full"),
+    )
+
+
+def best_identity(spark: SparkSession, d: str) -> DataFrame:
+    """Records and distinct identities by the kind of the best identity a label has."""
+    best = sequences.fallback_fingerprint(F.col("VH"), F.col("VL"), F.col("VL"), [])
+    found = table(spark, d, "labels").select(best["kind"].alias("kind"), F.array_join(best["parts"], "|").alias("identity"))
+    return found.groupBy("kind").agg(F.count(F.lit(1)).alias("n_records"), F.count_distinct("identity").alias("n_identities"))
+
+
+def pair_profile(spark: SparkSession, d: str) -> DataFrame:
+    return sequences.pair_profile(table(spark, d, "labels"), "VH", "VL")
+
+
+def label_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of chains that stand under several antibodies, and antibodies with several pairs."""
+    df, pair, name = table(spark, d, "labels"), sequences.pair_sha(F.col("VH"), F.col("VL")), antibody_id(F.col("antibody_id"))
+    ways = {"pair_with_several_antibodies": (pair, name), "antibody_with_several_pairs": (name, pair)}
+    return reduce(DataFrame.unionByName, [registry.label_conflicts(df, a, b).select(F.lit(way).alias("conflict"), "key", "n_labels", "first_label", "last_label") for way, (a, b) in ways.items()])
+
+
+def sheet_crosscheck(spark: SparkSession, d: str) -> DataFrame:
+    """Sheets that lineage edges name, against the sheets measurements come from, by file and sheet, compared by their hash."""
+    edges = table(spark, d, "record_lineage").groupBy("input_file", "input_sheet").agg(F.min("input_file_sha256").alias("sha"))
+    known = table(spark, d, "measurements").groupBy(F.col("input_file"), F.col("source_sheet").alias("input_sheet")).agg(F.min("input_file_sha256").alias("sha"))
+    found = comparison.two_key_crosscheck(edges, known, "input_file", "input_sheet", ["sha"])
+    return found.groupBy("status").agg(F.count(F.lit(1)).alias("n_sheets"))
+
+
+def component_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Antibodies that each block of measurements adds, blocks in the order of their first delivery."""
+    df = table(spark, d, "measurements").select(F.col("source_block_id").alias("component"), antibody_id(F.col("DOTAD_ID")).alias("id"), "loaded_at")
+    return comparison.new_per_component(df, "component", "id", F.col("loaded_at"))
+
+
+def endpoint_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Filled cells of measurements per column that counts as an annotation by its role."""
+    df = table(spark, d, "measurements")
+    wanted = [c for c in df.columns if {"assay", "value", "unit", "condition"} & set(profiling.semantic_roles(c))]
+    filled = df.agg(*(F.count(F.when(~cell_blank(F.col(c).cast("string")), 1)).alias(c) for c in wanted))
+    return filled.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_filled")) for c in wanted))).alias("r")).select("r.*")
 
 
 QUERIES = {
@@ -405,5 +501,7 @@ QUERIES = {
         lineage_coverage, lineage_rules, core_counts, declared_vs_actual, unique_lookup, last_delivery, content_diff, set_diff, incremental_new_ids,
         overlap_fingerprints, coverage_by_family, split_leakage, release_status, text_flags, numeric_claims, claim_categories, claim_verdicts, vocabulary_check,
         release_rules, set_equality, condition_keys, first_values, alias_rows, header_tokens, payload_cells, availability, event_paths, pca_explained_variance,
+        provenance_rows, block_descriptions, sheet_counts, category_places, table_paths, first_edge, open_reviews, chain_fingerprints, best_identity, pair_profile, label_conflicts,
+        sheet_crosscheck, component_metrics, endpoint_coverage,
     )
 }

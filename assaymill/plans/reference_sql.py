@@ -221,7 +221,9 @@ _REBUILT = f"""{_MEASURED_CTE}, cells AS (
   FROM (SELECT * FROM m WHERE record_layer = 'summary') s LEFT JOIN cells c ON s.block IS NOT DISTINCT FROM c.block AND s.id IS NOT DISTINCT FROM c.id AND s.endpoint = c.endpoint
     AND (s.host = '' OR s.host = c.host) AND (s.tag = '' OR s.tag = c.tag) GROUP BY s.record_id, s.block, s.id, s.endpoint, s.v, s.low, s.high, s.host, s.tag
 ), judged AS (SELECT *, CASE WHEN n > 0 AND ambiguous = '' THEN CAST(total AS DOUBLE) / n END again FROM joined
-), verdicts AS (SELECT *, CASE WHEN ambiguous <> '' THEN 'partially_verified' WHEN n = 0 THEN 'missing_raw_input' WHEN reported IS NULL THEN 'partially_verified'
+), verdicts AS (SELECT *, CASE WHEN ambiguous <> '' THEN 'partially_verified' 
+  WHEN n = 0 AND NOT EXISTS (FROM cells c WHERE c.block IS NOT DISTINCT FROM judged.block AND c.endpoint = judged.endpoint) THEN 'summary_only_no_raw_counterpart'
+  WHEN n = 0 THEN 'missing_raw_input' WHEN reported IS NULL THEN 'partially_verified'
   WHEN block = 'DVPa1' AND again BETWEEN low AND high THEN 'verified_at_reported_precision' WHEN block <> 'DVPa1' AND abs(reported - again) <= 1e-12 THEN 'verified_exact'
   WHEN block <> 'DVPa1' AND abs(reported - again) <= greatest(1e-8 * greatest(abs(reported), abs(again)), 1e-8) THEN 'verified_rounding' ELSE 'not_reproducible' END status FROM judged)"""
 RECONSTRUCT_SUMMARY = f"WITH {_REBUILT} SELECT record_id, block, id, endpoint, CAST(n AS BIGINT) AS n, ambiguous, status FROM verdicts"
@@ -328,6 +330,53 @@ FROM identity_relationship_members GROUP BY 1, 2"""
 EVENT_PATHS = """SELECT DISTINCT CASE WHEN value > 50 THEN 'user/' || user_id ELSE event_type END AS source, CASE WHEN value > 50 THEN event_type ELSE 'user/' || user_id END AS target,
   CASE WHEN value > 50 THEN 'script_to_output' ELSE 'input_to_script' END AS edge_type FROM events"""
 
+PROVENANCE_ROWS = """SELECT record_id, antibody_id, Format, excel_row AS source_row, 'metadata.xlsx' AS source_file, 'metadata' AS source_sheet, '1.0' AS release_version FROM antibody_metadata"""
+BLOCK_DESCRIPTIONS = f"""SELECT source_block_id, record_layer, count(*) AS n_rows, count(DISTINCT {coded("DOTAD_ID", "DOTAD")}) AS n_ids, count(DISTINCT input_file) AS n_sources, min(input_file) AS first_source
+FROM measurements GROUP BY 1, 2"""
+SHEET_COUNTS = """SELECT *, CAST(row_number() OVER (ORDER BY first_ordinal NULLS LAST, input_sheet NULLS FIRST) AS INTEGER) AS place
+FROM (SELECT input_sheet, count(*) AS n, min(input_excel_row) AS first_ordinal FROM record_lineage GROUP BY 1)"""
+_CONFLICTS = ["same_id_different_pairs", "different_ids_same_pair", "same_normalized_name_different_pairs", "different_names_same_pair", "alias_across_ids", "parent_mutant_candidate"]
+CATEGORY_PLACES = f"""SELECT category, CAST(list_position({_CONFLICTS}, category) AS INTEGER) AS place, count(*) AS n, first(conflict_key ORDER BY lower(conflict_key), conflict_key) AS first_key
+FROM ({IDENTITY_CANDIDATES}) GROUP BY 1"""
+TABLE_PATHS = r"""SELECT regexp_replace(replace(output_table, '\', '/'), '^release/', '') AS path, count(*) AS n_edges FROM record_lineage WHERE output_table IS NOT NULL GROUP BY 1"""
+FIRST_EDGE = f"SELECT lineage_id, output_table FROM record_lineage WHERE {_TABLE} = 'measurements' ORDER BY lineage_id, output_table LIMIT 1"
+OPEN_REVIEWS = f"SELECT record_id, review_id, status FROM identity_review_queue WHERE {blank('status')} OR status NOT IN ('CONFIRMED', 'REJECTED')"
+CHAIN_FINGERPRINTS = f"""SELECT basis, count(*) AS n_records, count(DISTINCT CASE WHEN basis = 'paired_vh_vl' THEN h || '|' || l END) AS n_pairs, count(DISTINCT CASE WHEN basis = 'heavy_only' THEN h END) AS n_heavy_only,
+  count(DISTINCT CASE WHEN basis = 'light_only' THEN l END) AS n_light_only, CAST(0 AS BIGINT) AS n_full
+FROM (SELECT {_release("VH")} h, {_release("VL")} l, CASE WHEN NOT {blank("VH")} AND NOT {blank("VL")} THEN 'paired_vh_vl' WHEN NOT {blank("VH")} THEN 'heavy_only' ELSE 'light_only' END basis
+  FROM labels WHERE NOT {blank("VH")} OR NOT {blank("VL")}) GROUP BY 1"""
+
+
+def _metric(c: str) -> str:
+    return rf"CASE WHEN NOT {blank(c)} THEN nullif(regexp_replace(upper(trim({c})), '[\x{{FEFF}} \-]+', '', 'g'), '') END"
+
+
+BEST_IDENTITY = f"""SELECT CASE WHEN h IS NOT NULL AND l IS NOT NULL THEN 'heavy_light' WHEN h IS NOT NULL THEN 'heavy_only' WHEN l IS NOT NULL THEN 'sequence' END AS kind, count(*) AS n_records,
+  count(DISTINCT CASE WHEN h IS NOT NULL AND l IS NOT NULL THEN h || '|' || l ELSE coalesce(h, l) END) AS n_identities FROM (SELECT {_metric("VH")} h, {_metric("VL")} l FROM labels) GROUP BY 1"""
+_AUDIT = r"upper(regexp_replace({c}, '[\s\x{{00A0}}*]+', '', 'g'))"
+PAIR_PROFILE = f"""WITH r AS (SELECT CASE WHEN NOT {blank("VH")} AND NOT {blank("VL")} THEN 'pair' WHEN NOT {blank("VH")} THEN 'heavy' WHEN NOT {blank("VL")} THEN 'light' ELSE 'none' END has,
+  CASE WHEN NOT {blank("VH")} AND NOT {blank("VL")} THEN regexp_replace({_AUDIT.format(c="VH")} || '|' || {_AUDIT.format(c="VL")}, '[^\x00-\x7F]', '', 'g') END pair FROM labels),
+p AS (SELECT pair, count(*) n FROM r WHERE pair IS NOT NULL GROUP BY 1)
+SELECT count(*) FILTER (has = 'pair') AS n_paired, count(*) FILTER (has = 'heavy') AS n_heavy_only, count(*) FILTER (has = 'light') AS n_light_only, count(*) FILTER (has = 'none') AS n_without,
+  (SELECT count(*) FROM p) AS n_distinct_pairs, (SELECT count(*) FROM p WHERE n > 1) AS n_repeated_pairs, CAST((SELECT coalesce(sum(n), 0) FROM p WHERE n > 1) AS BIGINT) AS n_in_repeated_pairs FROM r"""
+
+
+def _conflict(way: str, key: str, label: str) -> str:
+    return f"SELECT '{way}' AS conflict, {key} AS key, count(*) AS n_labels, min({label}) AS first_label, max({label}) AS last_label FROM u GROUP BY {key} HAVING count(*) > 1"
+
+
+LABEL_CONFLICTS = f"""WITH u AS (SELECT DISTINCT pair, id FROM (SELECT {_pair("VH", "VL")} pair, {coded("antibody_id", "DOTAD")} id FROM labels) WHERE pair IS NOT NULL AND id IS NOT NULL)
+{_conflict("pair_with_several_antibodies", "pair", "id")} UNION ALL {_conflict("antibody_with_several_pairs", "id", "pair")}"""
+SHEET_CROSSCHECK = """WITH e AS (SELECT input_file f, input_sheet s, min(input_file_sha256) h FROM record_lineage GROUP BY 1, 2),
+k AS (SELECT lower(input_file) f, source_sheet s, min(input_file_sha256) h FROM measurements GROUP BY 1, 2)
+SELECT CASE WHEN k.f IS NULL THEN 'not_found' WHEN e.h IS NOT DISTINCT FROM k.h THEN 'match' ELSE 'differs' END AS status, count(*) AS n_sheets FROM e LEFT JOIN k ON lower(e.f) = k.f AND e.s = k.s GROUP BY 1"""
+COMPONENT_METRICS = f"""WITH r AS (SELECT source_block_id c, {coded("DOTAD_ID", "DOTAD")} id, loaded_at FROM measurements), o AS (SELECT c, row_number() OVER (ORDER BY min(loaded_at), c) p FROM r GROUP BY 1),
+f AS (SELECT id, min(p) p FROM r JOIN o USING (c) WHERE id IS NOT NULL GROUP BY 1)
+SELECT c AS component, count(*) AS n_rows, count(DISTINCT id) AS distinct_ids, (SELECT count(*) FROM f WHERE f.p = any_value(o.p)) AS new_ids FROM r JOIN o USING (c) WHERE id IS NOT NULL GROUP BY 1"""
+ENDPOINT_COVERAGE = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (NOT {blank(c)}) AS n_filled FROM measurements" for c in ("assay_method", "assay_endpoint", "pH", "temperature", "concentration", "unit", "reported_value")
+)
+
 SQL = {
     "fk_audit": FK_AUDIT, "fk_orphans": FK_ORPHANS, "fk_orphan_report": FK_ORPHANS + " ORDER BY orphan LIMIT 1000", "fk_best_parents": FK_BEST, "key_uniqueness": KEY_UNIQUENESS,
     "column_profile": COLUMN_PROFILE, "column_types": COLUMN_TYPES, "table_profile": TABLE_PROFILE, "duplicate_groups": DUPLICATE_GROUPS, "largest_documents": LARGEST_DOCUMENTS,
@@ -339,5 +388,8 @@ SQL = {
     "incremental_new_ids": INCREMENTAL_NEW_IDS, "overlap_fingerprints": OVERLAP_FINGERPRINTS, "coverage_by_family": COVERAGE_BY_FAMILY, "split_leakage": SPLIT_LEAKAGE,
     "release_status": RELEASE_STATUS, "text_flags": TEXT_FLAGS, "claim_categories": CLAIM_CATEGORIES, "claim_verdicts": CLAIM_VERDICTS, "vocabulary_check": VOCABULARY_CHECK,
     "release_rules": RELEASE_RULES, "set_equality": SET_EQUALITY, "condition_keys": CONDITION_KEYS, "first_values": FIRST_VALUES, "alias_rows": ALIAS_ROWS,
+    "provenance_rows": PROVENANCE_ROWS, "block_descriptions": BLOCK_DESCRIPTIONS, "sheet_counts": SHEET_COUNTS, "category_places": CATEGORY_PLACES, "table_paths": TABLE_PATHS,
+    "first_edge": FIRST_EDGE, "open_reviews": OPEN_REVIEWS, "chain_fingerprints": CHAIN_FINGERPRINTS, "best_identity": BEST_IDENTITY, "pair_profile": PAIR_PROFILE,
+    "label_conflicts": LABEL_CONFLICTS, "sheet_crosscheck": SHEET_CROSSCHECK, "component_metrics": COMPONENT_METRICS, "endpoint_coverage": ENDPOINT_COVERAGE,
     "payload_cells": PAYLOAD_CELLS, "availability": AVAILABILITY, "event_paths": EVENT_PATHS,
 }

@@ -43,10 +43,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``), or a temporary one where it is unset."""
+    """The cluster's shared folder (``spark.checkpoint.dir``); in local sessions a temporary one where it is unset, elsewhere that is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
         _LOCAL[app] = tempfile.mkdtemp(prefix="assaymill-")
@@ -91,11 +93,3 @@ class Scratch:
             hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
         except Exception:  # a folder left behind must never fail a result
             pass
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def env_folder(name: str, default: str) -> str:
-    return os.environ.get(name, default)

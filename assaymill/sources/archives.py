@@ -10,7 +10,8 @@ import stat
 import zipfile
 import zlib
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -130,3 +131,43 @@ def header_rows(preview: DataFrame, sequence_headers: list[str], metric_words: l
     score = sum(F.coalesce(held.cast("int"), F.lit(0)) * points for points, held in signs)
     scored = preview.filter(F.size("cells") > 0).withColumn("score", score)
     return scored.groupBy("archive", "member").agg(F.max_by("row_no", F.struct("score", -F.col("row_no"))).alias("row_no"))
+
+
+def private_texts(spark: SparkSession, path: str, patterns: dict[str, str]) -> DataFrame:
+    """(archive, member, finding): members of archives, nested ones included, whose bytes match a pattern; read as any file system gives them.
+
+    Members are searched whole, as Latin text, so no encoding hides a match of ASCII patterns; a broken archive has the finding ``broken``.
+    """
+    wanted = dict(patterns)
+
+    def run(batches):
+        compiled = {name: re.compile(pattern) for name, pattern in wanted.items()}
+        for batch in batches:
+            found = []
+            for file, content in zip(batch["path"], batch["content"]):
+                archive = file.rsplit("/", 1)[-1]
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content)) as book:
+                        for handle, info, name, _, note in walk(book):
+                            if note == "broken":
+                                found.append((archive, name, "broken"))
+                            if not info.is_dir() and note != "opened":
+                                text = handle.read(info).decode("latin-1")
+                                found += [(archive, name, label) for label, pattern in compiled.items() if pattern.search(text)]
+                except zipfile.BadZipFile:
+                    found.append((archive, "", "broken"))
+            yield pd.DataFrame(found, columns=["archive", "member", "finding"])
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.mapInPandas(run, "archive string, member string, finding string")
+
+
+def member_counts(members: DataFrame) -> DataFrame:
+    """(archive, n_members, n_files, n_directories, n_nested, n_unsafe) of a listing with statuses."""
+    def times(condition: Column) -> Column:
+        return F.count(F.when(condition, 1))
+
+    return members.groupBy("archive").agg(
+        F.count(F.lit(1)).alias("n_members"), times(~F.col("is_directory")).alias("n_files"), times(F.col("is_directory")).alias("n_directories"),
+        times(F.col("depth") > 0).alias("n_nested"), times(F.col("status") != "safe").alias("n_unsafe"),
+    )

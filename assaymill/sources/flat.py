@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from ..operators.inventory import extension_of, path_category
+from ..operators.inventory import extension_of, is_binary, kind_flags, media_type, path_category
 from .ooxml import expand
 
 SNIFF_BYTES = 128 * 1024
@@ -142,13 +142,15 @@ def register(spark: SparkSession) -> None:
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Files below a folder with size, time, hash, kind and category; contents are hashed where they are read."""
+    """Files below a folder with size, time, hash, media type, kinds and category; contents are hashed where they are read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     name = F.regexp_extract("path", r"([^/]+)$", 1)
-    head = F.expr("substring(content, 1, 4096)")
+    files = files.withColumn("filename", name).withColumn("extension", extension_of(name)).withColumn("head", F.expr("substring(content, 1, 8192)"))
+    extension = F.col("extension")
     return files.select(
-        F.col("path"), name.alias("filename"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"),
-        extension_of(name).alias("extension"), path_category(F.col("path")).alias("category"), F.contains(head, F.lit(bytearray(1))).alias("has_zero_byte"),
+        "path", "filename", F.col("length").alias("size"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"), "extension",
+        media_type(extension).alias("media_type"), path_category(F.col("path")).alias("category"), F.startswith("filename", F.lit(".")).alias("is_hidden"),
+        is_binary(extension, F.col("head")).alias("is_binary"), F.contains("head", F.lit(bytearray(1))).alias("has_zero_byte"), *(flag.alias(n) for n, flag in kind_flags(extension).items()),
     )
 
 

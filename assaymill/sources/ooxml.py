@@ -12,6 +12,7 @@ import os
 import re
 import zipfile
 from datetime import datetime, timedelta
+from itertools import islice
 from xml.etree import ElementTree
 
 from pyspark.sql import DataFrame, SparkSession
@@ -137,7 +138,8 @@ class _XlsxReader(DataSourceReader):
         return [_Sheet(p, s) for p in expand(self.options["path"], ".xlsx") for s in sheet_names(p) if wanted in (None, s)]
 
     def read(self, partition):
-        for number, cells in sheet_rows(partition.path, partition.sheet, self.options.get("header", "first_row")):
+        limit = self.options.get("row_limit")
+        for number, cells in islice(sheet_rows(partition.path, partition.sheet, self.options.get("header", "first_row")), int(limit) if limit else None):
             for i, header, value, kind, formula in cells:
                 yield os.path.basename(partition.path), partition.sheet, number, i, header, value, kind, formula
 
@@ -216,8 +218,16 @@ def records(cells: DataFrame, names: list[str]) -> DataFrame:
 
 
 def workbook_profile(cells: DataFrame) -> DataFrame:
-    """Per sheet: rows with data, last physical row, columns, formula cells and formulas with a cached value."""
-    return cells.groupBy("file", "sheet").agg(
-        F.count_distinct("excel_row").alias("data_rows"), F.max("excel_row").alias("last_row"), F.max("column_index").alias("column_count"),
-        F.count(F.when(F.col("is_formula"), 1)).alias("formula_cells"), F.count(F.when(F.col("is_formula") & F.col("value").isNotNull(), 1)).alias("cached_values"),
+    """Per sheet: rows with data, last physical row, columns, formula cells and formulas with a cached value, and how sure its header is.
+
+    A header is ``high`` where all columns have distinct names, ``medium`` where most have one, else ``low``.
+    """
+    named = F.nullif(F.trim("header"), F.lit(""))
+    by_column = cells.groupBy("file", "sheet", "column_index").agg(
+        F.max(named).alias("name"), F.count_distinct("excel_row").alias("rows"), F.max("excel_row").alias("last"), F.count(F.when(F.col("is_formula"), 1)).alias("formulas"),
+        F.count(F.when(F.col("is_formula") & F.col("value").isNotNull(), 1)).alias("cached"),
+    )
+    return by_column.groupBy("file", "sheet").agg(
+        F.max("rows").alias("data_rows"), F.max("last").alias("last_row"), F.max("column_index").alias("column_count"), F.sum("formulas").alias("formula_cells"), F.sum("cached").alias("cached_values"),
+        F.when(F.count_distinct("name") == F.count(F.lit(1)), "high").when(F.count("name") * 2 > F.count(F.lit(1)), "medium").otherwise("low").alias("header_confidence"),
     )

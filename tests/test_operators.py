@@ -111,13 +111,14 @@ def test_reconstruction(spark):
         ("d", "g3", "3", "hic", "", "", 3.0, 1, None), ("e", "g3", "4", "tm", "", "", 2.74, None, None), ("f", "g1", "5", "tm", "", "", 72.40, None, None),
         ("g", "g1", "6", "tm", "", "", 72.40, None, None), ("h", "g3", "7", "tm", "", "", 1.000000008, None, None), ("i", "g3", "7", "tm", "", "", 1.0, 2, None),
         ("j", "g3", "9", "tm", "", "", 1.0, None, None), ("k", "g3", "7", "tm", "", "", None, None, None),
+        ("l", "g3", "7", "kd", "", "", 1.0, None, None),
     ]
     got = reconstruct.reconstruct(
         spark.createDataFrame(summary, SUMMARY), spark.createDataFrame(raw, RAW), "record", ["block", "id", "endpoint"], ["batch", "host"], F.col("block") == "g1"
     )
     assert dict(rows(got, "record", "status")) == {
         "a": "verified_at_reported_precision", "b": "verified_exact", "c": "partially_verified", "d": "verified_exact", "e": "not_reproducible", "f": "verified_at_reported_precision",
-        "g": "not_reproducible", "h": "verified_rounding", "i": "partially_verified", "j": "missing_raw_input", "k": "partially_verified",
+        "g": "not_reproducible", "h": "verified_rounding", "i": "partially_verified", "j": "missing_raw_input", "k": "partially_verified", "l": "summary_only_no_raw_counterpart",
     }
     assert {r["record"]: r["ambiguous"] for r in got.collect()}["c"] == "host"
 
@@ -223,11 +224,11 @@ def test_explained_variance(spark):
 
     x = np.random.default_rng(1).normal(size=(200, 4)) @ np.diag([5, 2, 1, 1]) + 3
     x[:, 1] += x[:, 0]
-    got = [r["share"] for r in statistics.explained_variance(spark.createDataFrame([(v.tolist(),) for v in x] + [(None,)], "v array<double>"), "v", 2).orderBy("component").collect()]
+    got = [r["share"] for r in statistics.explained_variance(spark.createDataFrame([(v.tolist(),) for v in x] + [(None,), ([1.0],), ([float("nan")] * 4,)], "v array<double>"), "v", 4, 2).orderBy("component").collect()]
     z = (x - x.mean(axis=0)) / x.std(axis=0, ddof=1)
     s = np.linalg.svd(z, compute_uv=False) ** 2
     assert np.allclose(got, (s / s.sum())[:2])
-    assert statistics.explained_variance(spark.createDataFrame([], "v array<double>"), "v").count() == 0
+    assert statistics.explained_variance(spark.createDataFrame([], "v array<double>"), "v", 4).count() == 0
 
 
 def test_results_do_not_depend_on_partitions(spark):

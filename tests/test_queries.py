@@ -5,10 +5,10 @@ import os
 import duckdb
 import pytest
 
-from assaymill.plans import problems, reference
+from assaymill.plans import fixtures, problems, reference
 
 D = "/root/testdata/sf0.001"
-QUERIES, SQL = reference.QUERIES | problems.QUERIES, reference.SQL | problems.SQL
+QUERIES, SQL = reference.QUERIES | problems.QUERIES | fixtures.QUERIES, reference.SQL | problems.SQL | fixtures.SQL
 pytestmark = pytest.mark.skipif(not os.path.isdir(D), reason="no test tables")
 
 

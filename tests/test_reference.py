@@ -36,7 +36,7 @@ def test_summaries_are_rebuilt_in_common_units(spark, tmp_path):
     verified = {(r["record_id"], r["status"] in ("verified_exact", "verified_rounding")) for r in reference.reconstruct_summary(spark, d).filter("record_id < 's6'").collect()}
     assert verified == {("s1", True), ("s2", False), ("s3", True), ("s4", True), ("s5", True)}
     rest = reference.reconstruct_summary(spark, d).filter("record_id >= 's6'")
-    assert rows(rest, "record_id", "n", "status") == [("s6", 1, "partially_verified"), ("s7", 0, "missing_raw_input"), ("s8", 0, "missing_raw_input")]
+    assert rows(rest, "record_id", "n", "status") == [("s6", 1, "partially_verified"), ("s7", 0, "missing_raw_input"), ("s8", 0, "missing_raw_input")]  # blocks with raw rows of the endpoint
     assert sum(n for *_, n in rows(reference.recon_status(spark, d))) == 8
 
 
