@@ -75,3 +75,12 @@ def assign_splits(records: DataFrame, plan: DataFrame, record: str, source: str,
         F.when(point < F.col("train") / whole, "train").when(point < (F.col("train") + F.col("valid")) / whole, "valid").otherwise("test").alias("split"),
     )
     return attach(rows, drawn, "component").select("record", F.col("_source").alias("source"), "split", "component")
+
+
+def split_report(assigned: DataFrame, plan: DataFrame) -> DataFrame:
+    """(source, split, n_rows, share, wanted): how far each source's rows keep to its proportions."""
+    counted = assigned.groupBy("source", "split").agg(F.count(F.lit(1)).alias("n_rows"))
+    total = counted.groupBy("source").agg(F.sum("n_rows").alias("all_rows"))
+    wanted = plan.groupBy("source", "split").agg(F.sum("fraction").alias("wanted"))
+    joined = wanted.join(counted, ["source", "split"], "full_outer").join(total, "source")
+    return joined.select("source", "split", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), (F.coalesce("n_rows", F.lit(0)) / F.col("all_rows")).alias("share"), "wanted")

@@ -85,5 +85,7 @@ def test_assigned_splits_keep_components_and_proportions(spark):
     assert len(found) == 6000 and len({(r["component"], r["split"]) for r in found}) == len({r["component"] for r in found}) == 1000
     share = sum(r["split"] == "train" for r in found) / 6000
     assert abs(share - 0.7) < 0.05
+    for r in splits.split_report(got, plan).collect():
+        assert abs(r["share"] - r["wanted"]) < 0.15 and r["n_rows"] > 0
     unknown = spark.createDataFrame([(1, "A", None, None, "elsewhere", "x", "y")], LABELS)
     assert splits.assign_splits(unknown, plan, "label_id", "source", entities()).first()["split"] in splits.SPLITS
