@@ -23,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Where the vocabularies lie unless told otherwise.
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The vocabulary's own pre-token pattern (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CACHE = 300_000
+#: Characters of texts whose ids go into one Arrow list, whose places are 32-bit numbers; a longer text has a list of its own.
+LIST_CHARACTERS = 1 << 22
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -148,22 +148,32 @@ class Encoder:
         return out
 
 
-def encode(df: DataFrame, id_col: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
-    """(id, ids): the token ids of every text."""
+def slices(texts: list[str | None], most: int = LIST_CHARACTERS) -> list[tuple[int, int]]:
+    """(start, stop) of runs of texts of at most ``most`` characters in all, or of one longer text."""
+    out, start, size = [], 0, 0
+    for i, t in enumerate(texts):
+        length = len(t or "")
+        if i > start and size + length > most:
+            out.append((start, i))
+            start, size = i, 0
+        size += length
+    return [*out, (start, len(texts))] if texts else []
+
+
+def encode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text", pattern: str = PATTERN) -> DataFrame:
+    """(id, ids): the token ids of every text by the vocabulary file at that path."""
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
 
     def run(batches):
         encoder = Encoder(ranks.value, pattern)
         for batch in batches:
-            # a few rows at a time keep the lists of ids small
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                lists = [encoder.encode(t) if t else [] for t in part.column(1).to_pylist()]
+            texts = batch.column(1).to_pylist()
+            for start, stop in slices(texts):
+                lists = [np.array(encoder.encode(t), dtype=np.int32) if t else np.zeros(0, dtype=np.int32) for t in texts[start:stop]]
                 offsets = np.zeros(len(lists) + 1, dtype=np.int32)
                 np.cumsum([len(x) for x in lists], out=offsets[1:])
-                flat = np.fromiter((i for x in lists for i in x), dtype=np.int32, count=int(offsets[-1]))
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["id", "ids"])
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), ids], names=["id", "ids"])
 
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(F.col(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)

@@ -13,8 +13,10 @@ from .language import fit, text_segments, wrong_labels
 from .leakage import leaked_items
 from .overlap import CrossSplit
 from .sql import SQL  # noqa: F401
-from .splits import assign_splits, split_name, torn_records
+from .splits import assign_splits, split_name, split_report, torn_records
 
+#: The public vocabulary that p6_ids asks for, where this project's machines have it.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
 def _entities() -> dict:
@@ -45,9 +47,14 @@ def p2_assign(spark: SparkSession, d: str) -> DataFrame:
     return drawn.select(F.col("record").alias("label_id"), "source", "split")
 
 
+def p2_report(spark: SparkSession, d: str) -> DataFrame:
+    """Realised and wanted shares of every source and split."""
+    return split_report(p2_assign(spark, d), table(spark, d, "split_plan"))
+
+
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document."""
-    return encode(table(spark, d, "documents"))
+    return encode(table(spark, d, "documents"), VOCABULARY)
 
 
 def _overlaps(spark: SparkSession, d: str) -> CrossSplit:
@@ -83,4 +90,4 @@ def p8_languages(spark: SparkSession, d: str) -> DataFrame:
     return text_segments(documents.select("doc_id", "text"), fit(documents))
 
 
-QUERIES = {"p8_found": p8_found, "p8_languages": p8_languages, "p7_found": p7_found, "p1_found": p1_found, "p2_found": p2_found, "p2_assign": p2_assign, "p3_found": p3_found, "p3_report": p3_report, "p6_ids": p6_ids}
+QUERIES = {"p8_found": p8_found, "p8_languages": p8_languages, "p7_found": p7_found, "p1_found": p1_found, "p2_found": p2_found, "p2_assign": p2_assign, "p2_report": p2_report, "p3_found": p3_found, "p3_report": p3_report, "p6_ids": p6_ids}

@@ -5,21 +5,22 @@ import numpy as np
 import pytest
 
 from assaymill.llm import bpe, language, leakage
+from assaymill.llm.queries import VOCABULARY
 from tests.conftest import rows
 
 D = "/root/testdata/sf0.001"
-has_vocabulary = pytest.mark.skipif(not os.path.exists(bpe.VOCABULARY), reason="no vocabulary")
+has_vocabulary = pytest.mark.skipif(not os.path.exists(VOCABULARY), reason="no vocabulary")
 
 
 @pytest.fixture(scope="module")
 def encoder():
-    return bpe.Encoder(bpe.read_ranks(bpe.VOCABULARY))
+    return bpe.Encoder(bpe.read_ranks(VOCABULARY))
 
 
 def reference_encoding(text):
     import tiktoken
 
-    return tiktoken.Encoding("own", pat_str=bpe.PATTERN, mergeable_ranks=bpe.read_ranks(bpe.VOCABULARY), special_tokens={}).encode_ordinary(text)
+    return tiktoken.Encoding("own", pat_str=bpe.PATTERN, mergeable_ranks=bpe.read_ranks(VOCABULARY), special_tokens={}).encode_ordinary(text)
 
 
 @has_vocabulary
@@ -56,9 +57,13 @@ def test_rank_queue_pops_in_order():
 @has_vocabulary
 def test_encoding_table(spark, encoder):
     df = spark.createDataFrame([(1, "hello world", "x"), (2, None, "x"), (3, "", "x"), (1, "hello world", "x"), (None, " ", "x")], "doc_id long, text string, ids string")
-    got = rows(bpe.encode(df), "doc_id", "ids")
+    got = rows(bpe.encode(df, VOCABULARY), "doc_id", "ids")
     assert got == [(1, encoder.encode("hello world"))] * 2 + [(2, []), (3, []), (None, encoder.encode(" "))]
-    assert bpe.encode(df.limit(0)).count() == 0
+    assert bpe.encode(df.limit(0), VOCABULARY).count() == 0
+
+
+def test_lists_are_cut_by_characters():
+    assert bpe.slices(["ab", None, "c", "defgh", "", "i"], 3) == [(0, 3), (3, 5), (5, 6)] and bpe.slices([]) == [] and bpe.slices(["long text"], 3) == [(0, 1)]
 
 
 ITEM = (
