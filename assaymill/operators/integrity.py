@@ -91,6 +91,18 @@ def relationship_candidates(spark: SparkSession, catalogue: list[tuple[str, str]
     return spark.createDataFrame(rows, "child_table string, child_column string, parent_table string, parent_column string")
 
 
+def matched_references(tables: dict[str, tuple[DataFrame, str]], pairs: DataFrame) -> DataFrame:
+    """(child, parent, matched, unmatched) of all ``pairs`` (child_table, parent_table) at once: counted keys of all tables meet their distinct keys in one join."""
+    plain = all(_plain(df, c) for df, c in tables.values())
+    counted = [child_counts(df, c, plain=plain).filter("k is not null").select(F.lit(name).alias("table"), "k", "n") for name, (df, c) in tables.items()]
+    keys = reduce(DataFrame.unionByName, counted)
+    total = keys.groupBy(F.col("table").alias("child")).agg(F.sum("n").alias("all_references"))
+    wanted = F.broadcast(pairs.select(F.col("child_table").alias("child"), F.col("parent_table").alias("parent")).distinct())  # pairs of tables
+    met = keys.select(F.col("table").alias("child"), "k", "n").join(keys.select(F.col("table").alias("parent"), "k"), "k").groupBy("child", "parent").agg(F.sum("n").alias("matched"))
+    found = wanted.join(met, ["child", "parent"], "left").join(total, "child", "left").na.fill(0, ["matched", "all_references"])
+    return found.select("child", "parent", "matched", (F.col("all_references") - F.col("matched")).alias("unmatched"))
+
+
 def best_parents(audits: DataFrame, k: int = 2) -> DataFrame:
     """The ``k`` relationships of each child that match most, ties by parent name."""
     order = Window.partitionBy("child").orderBy(F.desc("matched"), "parent")

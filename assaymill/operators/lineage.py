@@ -82,3 +82,8 @@ def edge_rows(references: DataFrame, rules: DataFrame, prefix: str = "LINEAGE")
     joined = references.join(F.broadcast(rules), "kind", "left")  # one rule per kind of reference
     content = F.sha2(F.concat_ws("\x1f", "record", "kind", "source"), 256)
     return joined.withColumn("lineage_id", F.concat(F.lit(f"{prefix}:"), F.substring(content, 1, 24)))
+
+
+def unknown_rules(edges: DataFrame, rule: str, known: list[str]) -> DataFrame:
+    """(rule, n_edges): rules that edges name and that no rule table holds; a missing rule counts as one."""
+    return edges.groupBy(F.col(rule).alias("rule")).agg(F.count(F.lit(1)).alias("n_edges")).filter(F.col("rule").isNull() | ~F.col("rule").isin(known))

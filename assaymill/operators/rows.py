@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.blanks import cell_blank, strip
+from ..functions.blanks import cell_blank, condition_key, strip
 
 
 def with_provenance(df: DataFrame, row: Column, **facts: Any) -> DataFrame:
@@ -96,3 +96,23 @@ def payload_lookup(payload: Column, header: str) -> Column:
     wanted = F.lit(" ".join(header.lower().split()))
     cells = F.filter(F.array_sort(payload), lambda c: F.lower(F.regexp_replace(strip(c["header"]), r"\s+", " ")) == wanted)
     return F.try_element_at(cells, F.lit(1))["value"]
+
+
+def measurement_rows(df: DataFrame, record: str, identifier: Column, endpoint: Column, value: Column, conditions: dict[str, Column], source: list[str]) -> DataFrame:
+    """One row per measurement: record, antibody, endpoint, number, the key of its conditions and where it comes from (the parts joined by ``!``)."""
+    where = F.concat_ws("!", *(F.col(c).cast("string") for c in source))
+    return df.select(F.col(record).alias("record_id"), identifier.alias("antibody_id"), endpoint.alias("endpoint"), value.alias("value"), condition_key(conditions).alias("condition"), where.alias("source_ref"))
+
+
+def stale(outputs: DataFrame, inputs: DataFrame, path: str, at: str) -> DataFrame:
+    """(path, at, newest_input): outputs older than the newest input."""
+    newest = inputs.agg(F.max(at).alias("newest_input"))
+    return outputs.select(path, at).crossJoin(F.broadcast(newest)).filter(F.col(at) < F.col("newest_input"))  # one row
+
+
+def registry_join(df: DataFrame, registry: DataFrame, key: str, value: str, missing: str) -> DataFrame:
+    """``df`` with the registry's value of its key; ``missing`` where the registry has none. Keys that repeat in the registry with several values are an error of it and come out as ``ambiguous``."""
+    known = registry.groupBy(key).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+    joined = df.join(known, key, "left")
+    found = F.when(F.col("_low").isNull(), F.lit(missing)).when(F.col("_low") != F.col("_high"), F.lit("ambiguous")).otherwise(F.col("_low"))
+    return joined.select(*df.columns, found.alias(value))

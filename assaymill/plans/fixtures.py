@@ -120,6 +120,47 @@ def src_scripts(spark: SparkSession, d: str) -> DataFrame:
     return loads.unionByName(names).unionByName(purpose)
 
 
+def script_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Edges between scripts and the files they name, and whether those are there."""
+    found = flat.scripts(spark, f"{_files(spark)}/{{run.py,plot.R}}").withColumn("script", F.regexp_extract("path", r"([^/]+)$", 1))
+    named = documents.script_references(found, "script", "text")
+    files = spark.createDataFrame([("/project/in/data.csv",), ("/project/out/plot.png",), ("/project/other.csv",)], "path string")
+    there = documents.resolve_references(named, files, "path").select("reference", "exists").distinct()
+    edges = documents.dependency_edges(named)
+    return edges.join(there, F.col("reference") == F.when(F.col("edge_type") == "input_to_script", F.col("source")).otherwise(F.col("target"))).select("source", "target", "edge_type", "exists")
+
+
+def sink_report(spark: SparkSession, d: str) -> DataFrame:
+    """A short report of rules, and a release folder's checks."""
+    root = _files(spark)
+    checks = validation.release_checks(spark, root, {"tabs.tsv": 1, "none.tsv": 2}, [])
+    lines = validation.report_markdown(checks, "Checks").split("\n")
+    return spark.createDataFrame(list(enumerate(lines, 1)), "line_no int, text string")
+
+
+def config_scope(spark: SparkSession, d: str) -> DataFrame:
+    """A locked configuration, and selections of files against the declared ones."""
+    import json
+    from pathlib import Path
+
+    from . import config
+
+    root = Path(_files(spark))
+    (root / "run.json").write_text(json.dumps({"release_version": "1", "inputs": {"plain.csv": release.sha256_file(root / "plain.csv")}}))
+    out = [("locked", config.RunConfig.load(str(root / "run.json"), str(root)).release_version)]
+    for name, selected in (("exact", ["plain.csv"]), ("empty", []), ("missing", ["tabs.tsv"]), ("outside", ["plain.csv", "../x"])):
+        try:
+            out.append((name, ";".join(p.name for p in config.resolve_scope(str(root), ["plain.csv"], selected))))
+        except config.ScopeError as error:
+            out.append((name, str(error).replace(str(root.resolve()), "ROOT").replace(str(root.resolve().parent), "ABOVE")))
+    (root / "plain.csv").write_text("changed")
+    try:
+        config.RunConfig.load(str(root / "run.json"), str(root))
+    except config.ScopeError as error:
+        out.append(("changed", str(error)))
+    return spark.createDataFrame(out, "step string, outcome string")
+
+
 def sink_table(spark: SparkSession, d: str) -> DataFrame:
     """A table of every type as deterministic text: the lines of the file."""
     df = spark.sql("""SELECT * FROM VALUES (2, 'tab\there', 1.5D, true, array(1.0D, double('NaN')), date'2025-01-02', timestamp_ntz'2025-01-02 03:04:05.678', 1.50BD),
@@ -386,7 +427,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         src_workbook_cells, src_workbook_records, src_workbook_profile, src_delimited, src_json, src_database, src_archive_members, src_archive_counts, src_archive_tables, src_private_texts,
-        src_document, src_markdown_table, src_inventory, src_scripts, sink_table, sink_union, sink_json, sink_release, header_forms, header_summaries, header_columns, payload_values,
+        script_edges, sink_report, config_scope, src_document, src_markdown_table, src_inventory, src_scripts, sink_table, sink_union, sink_json, sink_release, header_forms, header_summaries, header_columns, payload_values,
         sequence_classes, sequence_forms, script_unique_by, recon_verdicts, recon_contributors, claim_statements, claim_sources, claim_rules, source_texts, registry_rows, lineage_leaves,
         output_rules, text_findings, file_versions, upserts, path_kinds, src_row_limit, ordinals, claim_differences, metric_rows,
     )

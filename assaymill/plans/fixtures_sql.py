@@ -67,6 +67,28 @@ EXPECTED: dict[str, tuple[str, list[tuple]]] = {
         ('data.zip', 'broken.zip', 'broken'),
         ('data.zip', 'nested/in.zip!note.txt', 'personal_path'),
     ]),
+    "script_edges": ("source VARCHAR, target VARCHAR, edge_type VARCHAR, exists BOOLEAN", [
+        ('in/data.csv', 'run.py', 'input_to_script', True),
+        ('plot.R', 'out/plot.png', 'script_to_output', True),
+        ('run.py', 'fig.pdf', 'script_to_output', False),
+        ('run.py', 'res.tsv', 'script_to_output', False),
+    ]),
+    "sink_report": ("line_no INTEGER, text VARCHAR", [
+        (1, '# Checks'),
+        (2, ''),
+        (3, '4 of 5 rules hold.'),
+        (4, ''),
+        (5, '- none.tsv: file_present (1 violations)'),
+        (6, ''),
+    ]),
+    "config_scope": ("step VARCHAR, outcome VARCHAR", [
+        ('changed', 'changed: plain.csv'),
+        ('empty', 'no file selected'),
+        ('exact', 'plain.csv'),
+        ('locked', '1'),
+        ('missing', 'missing: ROOT/plain.csv; unexpected: ROOT/tabs.tsv'),
+        ('outside', 'outside: ABOVE/x'),
+    ]),
     "src_document": ("paragraph_index INTEGER, kind VARCHAR, text VARCHAR, section VARCHAR", [
         (0, 'paragraph', 'Title text', 'Front matter'),
         (1, 'paragraph', 'Methods', 'Methods'),

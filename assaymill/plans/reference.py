@@ -41,14 +41,8 @@ def fk_orphan_report(spark: SparkSession, d: str) -> DataFrame:
 def fk_best_parents(spark: SparkSession, d: str) -> DataFrame:
     """The two parents whose keys match each child column most."""
     catalogue = {"orders": "o_custkey", "customer": "c_custkey", "part": "p_partkey", "supplier": "s_suppkey", "nation": "n_nationkey"}
-    pairs = integrity.relationship_candidates(spark, list(catalogue.items())).collect()  # metadata
-    audits = reduce(DataFrame.unionByName, [
-        integrity.foreign_key_audit(table(spark, d, r["child_table"]), r["child_column"], table(spark, d, r["parent_table"]), r["parent_column"], "x").select(
-            F.lit(r["child_table"]).alias("child"), F.lit(r["parent_table"]).alias("parent"), "matched", "unmatched"
-        )
-        for r in pairs
-    ])
-    return integrity.best_parents(audits)
+    pairs = integrity.relationship_candidates(spark, list(catalogue.items()))
+    return integrity.best_parents(integrity.matched_references({t: (table(spark, d, t), c) for t, c in catalogue.items()}, pairs))
 
 
 def key_uniqueness(spark: SparkSession, d: str) -> DataFrame:
@@ -492,6 +486,39 @@ def endpoint_coverage(spark: SparkSession, d: str) -> DataFrame:
     return filled.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_filled")) for c in wanted))).alias("r")).select("r.*")
 
 
+def measurement_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Every delivered measurement in the layout of a release."""
+    conditions = {"method": F.col("assay_method"), "pH": F.col("pH"), "host": F.lower(F.col("production_host")), "tag": F.col("tag"), "batch": F.col("production_batch").cast("string")}
+    return row_forms.measurement_rows(
+        table(spark, d, "measurements"), "record_id", antibody_id(F.col("DOTAD_ID")), endpoint_quantity(F.lower(clean(F.col("assay_endpoint")))),
+        number_value(number_text(clean(F.col("reported_value")))), conditions, ["input_file", "source_sheet", "source_excel_row"],
+    )
+
+
+def sequence_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Labels with their chains in release form and their class."""
+    no, h, l = F.lit(False), F.col("VH"), F.col("VL")
+    kind = sequences.sequence_class(h, l, no, no, no, no)
+    return table(spark, d, "labels").select("label_id", sequences.release_sequence(h).alias("vh"), sequences.release_sequence(l).alias("vl"), kind.alias("sequence_class"))
+
+
+def unknown_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Transformation rules that edges name outside a rule table of two."""
+    return lineage.unknown_rules(table(spark, d, "record_lineage"), "transformation_rule_id", ["COPY_ROW", "NORMALISE_UNITS"])
+
+
+def default_units(spark: SparkSession, d: str) -> DataFrame:
+    """Measurements per documented unit of their block's concentrations, through a registry join."""
+    units = table(spark, d, "source_unit_defaults").filter("quantity = 'concentration'").select("source_block_id", F.col("default_unit").alias("unit"))
+    rows = table(spark, d, "measurements").select("source_block_id")
+    return row_forms.registry_join(rows, units, "source_block_id", "unit", "undocumented").groupBy("unit").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def stale_records(spark: SparkSession, d: str) -> DataFrame:
+    """Relationship groups loaded before the newest metadata record."""
+    return row_forms.stale(table(spark, d, "identity_relationship_groups").select("record_id", "loaded_at"), table(spark, d, "antibody_metadata"), "record_id", "loaded_at")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -502,6 +529,6 @@ QUERIES = {
         overlap_fingerprints, coverage_by_family, split_leakage, release_status, text_flags, numeric_claims, claim_categories, claim_verdicts, vocabulary_check,
         release_rules, set_equality, condition_keys, first_values, alias_rows, header_tokens, payload_cells, availability, event_paths, pca_explained_variance,
         provenance_rows, block_descriptions, sheet_counts, category_places, table_paths, first_edge, open_reviews, chain_fingerprints, best_identity, pair_profile, label_conflicts,
-        sheet_crosscheck, component_metrics, endpoint_coverage,
+        sheet_crosscheck, component_metrics, endpoint_coverage, measurement_rows, sequence_rows, unknown_rules, default_units, stale_records,
     )
 }

@@ -377,6 +377,23 @@ ENDPOINT_COVERAGE = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) FILTER (NOT {blank(c)}) AS n_filled FROM measurements" for c in ("assay_method", "assay_endpoint", "pH", "temperature", "concentration", "unit", "reported_value")
 )
 
+_MEASURED_NUMBER = r"TRY_CAST(replace(regexp_extract(trim(reported_value), '^([+-]?[0-9]+(?:[.,][0-9]+)?(?:e[+-]?[0-9]+)?)', 1), ',', '.') AS DOUBLE)"
+MEASUREMENT_ROWS = f"""SELECT record_id, {coded("DOTAD_ID", "DOTAD")} AS antibody_id,
+  CASE WHEN lower(assay_endpoint) LIKE '%hic%' THEN 'hic_rt' WHEN lower(assay_endpoint) LIKE '%tm1%' THEN 'tm1' WHEN lower(assay_endpoint) LIKE '%tit_r%' THEN 'titer'
+    WHEN lower(assay_endpoint) LIKE '%titre%' THEN 'titer' WHEN lower(assay_endpoint) LIKE '%visc%' THEN 'viscosity' WHEN lower(assay_endpoint) LIKE '%monomer%' THEN 'monomer'
+    WHEN assay_endpoint IS NOT NULL THEN 'kd' END AS endpoint, {_MEASURED_NUMBER} AS value,
+  coalesce(nullif(concat_ws('|', {_part("method", "assay_method", "assay_method")}, {_part("pH", "pH", "pH")}, {_part("host", "production_host", "lower(production_host)")}, {_part("tag", "tag", "tag")},
+    CASE WHEN production_batch IS NOT NULL THEN 'batch=' || production_batch END), ''), 'UNSPECIFIED_CONDITION') AS condition,
+  concat_ws('!', input_file, source_sheet, source_excel_row) AS source_ref FROM measurements"""
+SEQUENCE_ROWS = f"""SELECT label_id, {_release("VH")} AS vh, {_release("VL")} AS vl, CASE WHEN NOT {blank("VH")} AND NOT {blank("VL")} THEN 'paired_vh_vl' WHEN NOT {blank("VH")} THEN 'heavy_only'
+  WHEN NOT {blank("VL")} THEN 'light_only' ELSE 'no_sequence' END AS sequence_class FROM labels"""
+UNKNOWN_RULES = """SELECT transformation_rule_id AS rule, count(*) AS n_edges FROM record_lineage
+WHERE transformation_rule_id IS NULL OR transformation_rule_id NOT IN ('COPY_ROW', 'NORMALISE_UNITS') GROUP BY 1"""
+DEFAULT_UNITS = """WITH u AS (SELECT source_block_id b, min(default_unit) lo, max(default_unit) hi FROM source_unit_defaults WHERE quantity = 'concentration' GROUP BY 1)
+SELECT CASE WHEN lo IS NULL THEN 'undocumented' WHEN lo <> hi THEN 'ambiguous' ELSE lo END AS unit, count(*) AS n_rows FROM measurements LEFT JOIN u ON b = source_block_id GROUP BY 1"""
+STALE_RECORDS = """WITH n AS (SELECT max(loaded_at) newest_input FROM antibody_metadata)
+SELECT record_id, loaded_at, newest_input FROM identity_relationship_groups, n WHERE loaded_at < newest_input"""
+
 SQL = {
     "fk_audit": FK_AUDIT, "fk_orphans": FK_ORPHANS, "fk_orphan_report": FK_ORPHANS + " ORDER BY orphan LIMIT 1000", "fk_best_parents": FK_BEST, "key_uniqueness": KEY_UNIQUENESS,
     "column_profile": COLUMN_PROFILE, "column_types": COLUMN_TYPES, "table_profile": TABLE_PROFILE, "duplicate_groups": DUPLICATE_GROUPS, "largest_documents": LARGEST_DOCUMENTS,
@@ -391,5 +408,6 @@ SQL = {
     "provenance_rows": PROVENANCE_ROWS, "block_descriptions": BLOCK_DESCRIPTIONS, "sheet_counts": SHEET_COUNTS, "category_places": CATEGORY_PLACES, "table_paths": TABLE_PATHS,
     "first_edge": FIRST_EDGE, "open_reviews": OPEN_REVIEWS, "chain_fingerprints": CHAIN_FINGERPRINTS, "best_identity": BEST_IDENTITY, "pair_profile": PAIR_PROFILE,
     "label_conflicts": LABEL_CONFLICTS, "sheet_crosscheck": SHEET_CROSSCHECK, "component_metrics": COMPONENT_METRICS, "endpoint_coverage": ENDPOINT_COVERAGE,
+    "measurement_rows": MEASUREMENT_ROWS, "sequence_rows": SEQUENCE_ROWS, "unknown_rules": UNKNOWN_RULES, "default_units": DEFAULT_UNITS, "stale_records": STALE_RECORDS,
     "payload_cells": PAYLOAD_CELLS, "availability": AVAILABILITY, "event_paths": EVENT_PATHS,
 }

@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
+_WRITTEN: list[Scratch] = []
 
 
 def local_session(cpus: str | int = "*", partitions: int = 8, memory: str = "8g", **conf: str) -> SparkSession:
@@ -68,6 +69,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/assaymill-{name}-{uuid.uuid4().hex[:12]}"
+        _WRITTEN.append(self)
         atexit.register(self._remove, self.root)
 
     def path(self, tag: str) -> str:
@@ -93,3 +95,16 @@ class Scratch:
             hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
         except Exception:  # a folder left behind must never fail a result
             pass
+
+
+def release_scratch() -> int:
+    """Remove the scratch tables of all results so far, which must not be read again; returns how many folders went.
+
+    Results read their last tables when an action runs, so these stay until the session ends or this is called: a session that runs many queries
+    calls it between them.
+    """
+    count = len(_WRITTEN)
+    while _WRITTEN:
+        scratch = _WRITTEN.pop()
+        scratch._remove(scratch.root)
+    return count

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from assaymill.functions import blanks, text
@@ -58,3 +59,27 @@ def test_condition_key(spark):
     df = spark.createDataFrame([("CHO", None), (None, " "), ("CHO", "His")], "host string, tag string")
     got = df.select(blanks.condition_key({"host": F.col("host"), "tag": F.col("tag")}).alias("k"))
     assert rows(got) == [("UNSPECIFIED_CONDITION",), ("host=CHO",), ("host=CHO|tag=His",)]
+
+
+def test_scratch_tables_are_released(spark):
+    from pathlib import Path
+
+    from assaymill import session
+
+    scratch = session.Scratch(spark, "release")
+    df = scratch.put(spark.range(3), "rows")
+    folder = Path(scratch.root.removeprefix("file://"))
+    assert df.count() == 3 and folder.is_dir()
+    assert session.release_scratch() >= 1 and not folder.exists() and session.release_scratch() == 0
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from assaymill import session
+
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(getConf=lambda: {}, master="spark://host:7077", applicationId="x"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(bare)
+    named = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: "hdfs://shared"))
+    assert session.shared_folder(named) == "hdfs://shared"
