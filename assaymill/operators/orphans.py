@@ -61,18 +61,30 @@ def parents(df: DataFrame, table: str, key, at: str = "loaded_at", withdrawn: st
     )
 
 
-def _state(first, arrived, gone, ref_at):
-    return (
-        F.when(F.coalesce(arrived, F.lit(0)) == 0, "missing")
-        .when(arrived <= gone, "withdrawn")
-        .when(first > ref_at, "late")
-        .otherwise("ok")
-    )
+#: States by their code in the store.
+STATES = ["ok", "late", "withdrawn", "missing"]
+
+
+def _code(first, arrived, gone, ref_at):
+    return F.when(F.coalesce(arrived, F.lit(0)) == 0, 3).when(arrived <= gone, 2).when(first > ref_at, 1).otherwise(0)
+
+
+def _mark(step, code):
+    """Step and state in one number: the largest mark of a reference holds its state."""
+    return (step * len(STATES) + code).cast("int")
+
+
+def _code_of(mark):
+    return F.pmod(mark, F.lit(len(STATES)))
+
+
+def _named(code):
+    return F.element_at(F.array(*map(F.lit, STATES)), code + 1)
 
 
 _INDEX = "target string, first_at timestamp_ntz, arrived long, gone long, step int, bucket int"
 _SETTLED = "ref_table string, ref_id string, ref_at timestamp_ntz, target string, step int, bucket int"
-_CHANGES = "ref_table string, ref_id string, ref_at timestamp_ntz, target string, state string, step int, bucket int"
+_CHANGES = "ref_table string, ref_id string, ref_at timestamp_ntz, target string, mark int, step int, bucket int"
 _SNAPSHOTS = "as_of string, ref_table string, period string, state string, n_references long, step int"
 
 
@@ -110,7 +122,7 @@ class OrphanLedger:
     def _latest(self, buckets: list[int] | None = None) -> DataFrame:
         """References that were ever out of order, with their state."""
         changes = self._table("changes", _CHANGES, buckets)
-        return changes.groupBy(*REFERENCE).agg(F.max_by("state", "step").alias("state"))
+        return changes.groupBy(*REFERENCE).agg(F.max("mark").alias("mark")).select(*REFERENCE, _named(_code_of(F.col("mark"))).alias("state"))
 
     @property
     def index(self) -> DataFrame:
@@ -123,9 +135,13 @@ class OrphanLedger:
     @property
     def ledger(self) -> DataFrame:
         """Every reference with its state."""
-        settled = self._table("settled", _SETTLED).select(*REFERENCE, F.lit("ok").alias("state"), F.lit(-1).alias("step"))
-        changes = self._table("changes", _CHANGES).select(*REFERENCE, "state", "step")
-        return settled.unionByName(changes).groupBy(*REFERENCE).agg(F.max_by("state", "step").alias("state"))
+        marks = self._marks(None)
+        return marks.groupBy(*REFERENCE).agg(F.max("mark").alias("mark")).select(*REFERENCE, _named(_code_of(F.col("mark"))).alias("state"))
+
+    def _marks(self, buckets: list[int] | None) -> DataFrame:
+        """Every reference with the marks it ever had; a settled one has the lowest."""
+        settled = self._table("settled", _SETTLED, buckets).select(*REFERENCE, _mark(F.lit(-1), F.lit(0)).alias("mark"))
+        return settled.unionByName(self._table("changes", _CHANGES, buckets).select(*REFERENCE, "mark"))
 
     @property
     def orphans(self) -> DataFrame:
@@ -149,25 +165,24 @@ class OrphanLedger:
         self._append("index", self._merged(came.unionByName(went)))
         delta = self.spark.read.schema(_INDEX).parquet(f"{self.root}/index/step={self.step}").select("target", "first_at", "arrived", "gone")
         fresh = self.scratch.put(new_references.select(*REFERENCE), "fresh")
-        now = _state(F.col("first_at"), F.col("arrived"), F.col("gone"), F.col("ref_at"))
+        now = _code(F.col("first_at"), F.col("arrived"), F.col("gone"), F.col("ref_at"))
         wanted = self._buckets_of(fresh.select("target").unionByName(delta.select("target")))
 
         def index(buckets: list[int]) -> DataFrame:
             of_bucket = F.pmod(F.xxhash64("target"), F.lit(self.buckets)).isin(buckets)
             return self._merged(self._table("index", _INDEX, buckets).select(*delta.columns).unionByName(delta.filter(of_bucket)))
 
-        judged = self.scratch.put(attach(fresh, index(wanted), "target", "left").select(*REFERENCE, now.alias("state")), "judged")
-        self._append("settled", judged.filter("state = 'ok'").drop("state"))
-        changed = judged.filter("state <> 'ok'")
+        judged = self.scratch.put(attach(fresh, index(wanted), "target", "left").select(*REFERENCE, now.alias("code")), "judged")
+        self._append("settled", judged.filter("code = 0").drop("code"))
+        changed = judged.filter("code > 0")
         if before:
             touched = self._buckets_of(delta)
-            older = self._table("settled", _SETTLED, touched).select(*REFERENCE, F.lit("ok").alias("state"), F.lit(-1).alias("step"))
-            older = older.unionByName(self._table("changes", _CHANGES, touched).select(*older.columns))
             # states of the touched targets: the delta's keys with everything known of them
             fresh_states = index(touched).join(delta.select("target"), "target", "left_semi")
-            older = older.join(fresh_states, "target").groupBy(*REFERENCE, "first_at", "arrived", "gone").agg(F.max_by("state", "step").alias("state"))
-            older = older.withColumn("new", now).filter(F.col("new") != F.col("state")).select(*REFERENCE, F.col("new").alias("state"))
+            older = self._marks(touched).join(fresh_states, "target").groupBy(*REFERENCE, "first_at", "arrived", "gone").agg(F.max("mark").alias("mark"))
+            older = older.withColumn("code", now).filter(F.col("code") != _code_of(F.col("mark"))).select(*REFERENCE, "code")
             changed = changed.unionByName(older)
+        changed = changed.select(*REFERENCE, _mark(F.lit(self.step), F.col("code")).alias("mark"))
         self._append("changes", changed)
         self.steps = [*before, self.step]
         self.snapshot().select(F.lit(as_of or str(self.step)).alias("as_of"), "ref_table", "period", "state", F.col("orphans").alias("n_references")).coalesce(1).write.mode(
@@ -190,7 +205,8 @@ class OrphanLedger:
         other._append("index", self.index)
         ledger = self.scratch.put(self.ledger, "compacted")
         other._append("settled", ledger.filter("state = 'ok'").drop("state"))
-        other._append("changes", ledger.filter("state <> 'ok'"))
+        code = F.array_position(F.array(*map(F.lit, STATES)), F.col("state")) - 1
+        other._append("changes", ledger.filter("state <> 'ok'").select(*REFERENCE, _mark(F.lit(0), code).alias("mark")))
         self.snapshots.coalesce(1).write.mode("overwrite").parquet(f"{other.root}/snapshots/step=0")
         return OrphanLedger(self.spark, folder, self.buckets)
 
