@@ -63,7 +63,7 @@ def test_encoding_table(spark, encoder):
 
 
 def test_lists_are_cut_by_characters():
-    assert bpe.slices(["ab", None, "c", "defgh", "", "i"], 3) == [(0, 3), (3, 5), (5, 6)] and bpe.slices([]) == [] and bpe.slices(["long text"], 3) == [(0, 1)]
+    assert bpe.slices(["ab", None, "c", "defgh", "", "i"], 3) == [(0, 3), (3, 4), (4, 6)] and bpe.slices([]) == [] and bpe.slices(["long text"], 3) == [(0, 1)]
 
 
 ITEM = (
